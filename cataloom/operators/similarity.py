@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stem import stem
 from ..functions.text import let, ngrams, numbered, rouge_tokens, words
@@ -24,7 +25,7 @@ STEM_LONGER_THAN = 3
 METRICS = ["rouge1", "rouge2", "rougeL", "meteor"]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _stemmed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     known: dict[str, str] = {}
 
@@ -92,7 +93,7 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - open_bits.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _lcs(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in pairs:
         yield pd.Series(
@@ -165,7 +166,7 @@ def meteor_score(reference: list[str], candidate: list[str], groups: dict[str, s
     return (1 - GAMMA * (chunks / len(matches)) ** BETA) * mean
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _meteor(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series(
         [
@@ -176,7 +177,7 @@ def _meteor(reference: pd.Series, candidate: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _meteor_synonyms(
     reference: pd.Series, candidate: pd.Series, groups: pd.Series
 ) -> pd.Series:

@@ -30,9 +30,9 @@ def text_literal(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def filled(template: str, **values: str) -> str:
+def filled(text: str, /, **values: str) -> str:
     """SQL that fills the braces of a template with SQL expressions."""
-    out = text_literal(template)
+    out = text_literal(text)
     for name, expression in values.items():
         out = f"replace({out}, '{{{name}}}', {expression})"
     return out
