@@ -26,23 +26,27 @@ from ..functions.text import let, vectoriser_terms, words
 SYSTEM = "system"
 
 
-def _answer(content: Column, prompt: Column) -> Column:
-    def struct(x: Column) -> Column:
-        counts = F.array(F.size(words(prompt)).cast("long"), F.size(words(x["c"])).cast("long"))
-        return let(
-            counts,
-            lambda n: F.struct(
-                x["c"].alias("content"),
-                F.get(n, F.lit(0)).alias("prompt_tokens"),
-                F.get(n, F.lit(1)).alias("completion_tokens"),
-                (F.get(n, F.lit(0)) + F.get(n, F.lit(1))).alias("total_tokens"),
-                F.lit(1).alias("attempts"),
-                F.when(x["c"].isNotNull(), "success").otherwise("error").alias("status"),
-                F.when(x["c"].isNull(), "no_answer").alias("error"),
-            ),
-        )
+# Fixed value: the offline provider counts one token for so many characters.
+CHARS_PER_TOKEN = 4
+
 
-    return let(F.struct(content.alias("c")), struct)
+def _tokens(text: Column) -> Column:
+    return F.ceil(F.length(F.coalesce(text, F.lit(""))) / CHARS_PER_TOKEN)
+
+
+def _answer(content: Column, prompt: Column) -> Column:
+    return let(
+        content,
+        lambda c: F.struct(
+            c.alias("content"),
+            _tokens(prompt).alias("prompt_tokens"),
+            _tokens(c).alias("completion_tokens"),
+            (_tokens(prompt) + _tokens(c)).alias("total_tokens"),
+            F.lit(1).alias("attempts"),
+            F.when(c.isNotNull(), "success").otherwise("error").alias("status"),
+            F.when(c.isNull(), "no_answer").alias("error"),
+        ),
+    )
 
 
 class Provider:

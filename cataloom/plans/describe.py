@@ -3,6 +3,10 @@
 Everything a description needs lies in the record's own row (sample, title, original text), so
 the whole run is a chain of projections and scales with the number of tasks.  A failed step is a
 null or an ``error`` row; it never stops the other rows.
+
+Answers are the costly part of a run.  Write the described table (``sources.stages.write_stage``)
+before filtering or counting it; a filter on a lazy run would be pushed below the answers and
+ask for them twice.
 """
 
 from __future__ import annotations

@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import catalog_queries, profile_queries  # noqa: F401
+    from . import catalog_queries, profile_queries, search_queries  # noqa: F401

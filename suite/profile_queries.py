@@ -349,15 +349,11 @@ def dataset_semantic_text(spark, folder):
     )
 
 
-WORDS_SQL = "len(list_filter(regexp_split_to_array(lower({0}), '[ \\t\\n\\r\\f\\v]+'), lambda t: t <> ''))"
-
-
 @query(
     "token_usage_stats",
     "WITH "
     + views.PAIRS_SQL
-    + f""", t AS (SELECT source, {WORDS_SQL.format("p")} AS asked,
-  {WORDS_SQL.format("'A'")} AS told FROM (SELECT source, {filled(prompts.PAIR_USER_PROMPT, desc_a='generated_description', desc_b='original_description')} AS p FROM text_pairs))
+    + f""", t AS (SELECT source, CAST(ceil(length(p) / 4.0) AS BIGINT) AS asked, 1 AS told FROM (SELECT source, {filled(prompts.PAIR_USER_PROMPT, desc_a='generated_description', desc_b='original_description')} AS p FROM text_pairs))
 SELECT source, count(*) AS calls, CAST(sum(asked) AS BIGINT) AS prompt_tokens,
   CAST(sum(told) AS BIGINT) AS completion_tokens, CAST(sum(asked + told) AS BIGINT) AS total_tokens FROM t GROUP BY source""",
 )
@@ -395,7 +391,7 @@ def _described_prompt_sql(sections: list[tuple[str, str, str]]) -> str:
         ])} END AS prompt FROM descriptions""",
 )
 def description_prompt(spark, folder):
-    return views.descriptions(spark, folder).select(
+    return views.described(spark, folder).select(
         "dataset_id",
         prompts.description_prompt(
             F.col("sample_csv"),
@@ -463,6 +459,9 @@ def complete_offline(spark, folder):
     )
 
 
+WORDS_SQL = "len(list_filter(regexp_split_to_array(lower({0}), '[ \\t\\n\\r\\f\\v]+'), lambda t: t <> ''))"
+
+
 class WordCountClient:
     """A chat client that answers with the size of its prompt and fails on long ones once."""
 
@@ -510,7 +509,7 @@ class HalfJsonClient:
         text = messages[-1]["content"]
         self.asked[text] = self.asked.get(text, 0) + 1
         good = self.asked[text] > 1 and "ß" not in text
-        content = '{"c": {"Entity Type": "Thing"' if good else "no idea"
+        content = 'Well: {"c": {"Entity Type": "Thing"} so' if good else "no idea"
         return {"choices": [{"message": {"content": content}}]}
 
 
@@ -610,7 +609,7 @@ def _variants_sql() -> str:
 
 @query("variant_grid", _variants_sql())
 def variant_grid(spark, folder):
-    records = prepare.successes(views.descriptions(spark, folder))
+    records = prepare.successes(views.described(spark, folder))
     return describe.variant_grid(records, [0.0, 0.7], [100, 200], [True, False])
 
 
@@ -622,7 +621,7 @@ def variant_grid(spark, folder):
   count(semantic_profile) AS n_semantic_profile, count(search_description) AS n_search_description FROM descriptions GROUP BY 1, 2""",
 )
 def generation_counts(spark, folder):
-    return evaluation.generation_counts(views.descriptions(spark, folder))
+    return evaluation.generation_counts(views.described(spark, folder))
 
 
 # --- evaluation table ---------------------------------------------------------------------
@@ -646,7 +645,7 @@ evaluated AS (
 
 
 def _evaluated(spark, folder):
-    return evaluation.evaluation_table_full(views.descriptions(spark, folder))
+    return evaluation.evaluation_table_full(views.described(spark, folder))
 
 
 @query(
@@ -656,7 +655,7 @@ def _evaluated(spark, folder):
   original_description_len, generated_description_len, generation_status, error_message FROM evaluated""",
 )
 def evaluation_table(spark, folder):
-    return evaluation.evaluation_table(views.descriptions(spark, folder))
+    return evaluation.evaluation_table(views.described(spark, folder))
 
 
 @query("evaluation_table_full", EVALUATED_SQL + " SELECT * FROM evaluated")
@@ -734,4 +733,4 @@ def qualitative_sample(spark, folder):
     + " SELECT dataset_id, generated_description_len, search_description_len, original_description_len FROM evaluated",
 )
 def text_lengths(spark, folder):
-    return evaluation.text_lengths(views.descriptions(spark, folder))
+    return evaluation.text_lengths(views.described(spark, folder))

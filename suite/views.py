@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from cataloom.operators import ingest, vectors as vec
 from cataloom.operators.joins import top_ranked
 from cataloom.plans.describe import describe_catalog
-from cataloom.sources.stages import read_stage
+from cataloom.session import scratch_path
+from cataloom.sources.stages import read_stage, write_stage
 
 SAMPLE_ROWS = 20
 SPARSE_ABOVE = 0.1
@@ -110,6 +111,11 @@ def descriptions(spark: SparkSession, folder: str) -> DataFrame:
     return describe_catalog(samples(spark, folder))
 
 
+def described(spark: SparkSession, folder: str) -> DataFrame:
+    """The described table, written once and read back."""
+    return write_stage(descriptions(spark, folder), scratch_path(spark, "described"))
+
+
 LINES_SQL = """
 lines AS (
   SELECT * FROM (
