@@ -3,4 +3,9 @@
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import catalog_queries, profile_queries, search_queries  # noqa: F401
+    from . import (  # noqa: F401
+        catalog_queries,
+        judge_queries,
+        profile_queries,
+        search_queries,
+    )
