@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 
 def list_text(values: Column) -> Column:
     """JSON text of a string array with ``", "`` between the elements."""
@@ -32,11 +34,17 @@ def repair(text: Column) -> Column:
 
     A text without braces stays as it is.
     """
-    body = F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
-    def count(mark: str) -> Column:
-        return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
+    def closed(body: Column) -> Column:
+        def count(mark: str) -> Column:
+            return F.length(body) - F.length(F.replace(body, F.lit(mark), F.lit("")))
+
+        missing = F.greatest(F.lit(0), count("{") - count("}"))
+        return F.regexp_replace(
+            F.concat(body, F.repeat(F.lit("}"), missing)), r",\s*\}", "}"
+        )
 
-    missing = F.greatest(F.lit(0), count("{") - count("}"))
-    closed = F.concat(body, F.repeat(F.lit("}"), missing))
-    return F.when(body == "", text).otherwise(F.regexp_replace(closed, r",\s*\}", "}"))
+    return let(
+        F.regexp_extract(text, r"(?s)\{.*\}", 0),
+        lambda body: F.when(body == "", text).otherwise(closed(body)),
+    )

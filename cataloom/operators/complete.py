@@ -162,37 +162,39 @@ class OfflineProvider(Provider):
             F.lit("{"), F.array_join(F.transform(profile, entry), ", "), F.lit("}")
         )
 
-    def _marks(self, text: Column) -> tuple[Column, Column, Column]:
+    def _marks(self, text: Column) -> Column:
         """Completeness from length, conciseness from repetition, readability from word length."""
-        found = words(text)
-        n = F.size(found)
-        different = F.size(F.array_distinct(found))
-        letters = F.length(F.regexp_replace(text, r"\s+", ""))
-        complete = F.least(F.lit(10), F.lit(1) + F.floor(n / 20)).cast("int")
-        concise = F.when(n > 0, F.floor(different * 10 / n)).otherwise(F.lit(1)).cast("int")
-        readable = (
-            F.when(n > 0, F.greatest(F.lit(1), F.lit(14) - F.floor(letters / n)))
-            .otherwise(F.lit(1))
-            .cast("int")
-        )
-        return complete, F.greatest(F.lit(1), concise), F.least(F.lit(10), readable)
+
+        def marks(found: Column) -> Column:
+            n = F.size(found)
+            letters = F.aggregate(found, F.lit(0), lambda total, w: total + F.length(w))
+            complete = F.least(F.lit(10), F.lit(1) + F.floor(n / 20))
+            concise = F.floor(F.size(F.array_distinct(found)) * 10 / n)
+            readable = F.least(F.lit(10), F.lit(14) - F.floor(letters / n))
+            some = F.array(
+                complete, F.greatest(F.lit(1), concise), F.greatest(F.lit(1), readable)
+            ).cast("array<int>")
+            return F.when(n > 0, some).otherwise(F.array(F.lit(1), F.lit(1), F.lit(1)))
+
+        return let(words(text), marks)
 
     def quality(self, description: Column, **_: Column) -> Column:
-        complete, concise, readable = self._marks(description)
-        return F.concat(
-            F.lit("Completeness: "),
-            complete.cast("string"),
-            F.lit(", Conciseness: "),
-            concise.cast("string"),
-            F.lit(", Readability: "),
-            readable.cast("string"),
+        names = ["Completeness", "Conciseness", "Readability"]
+        return let(
+            self._marks(description),
+            lambda m: F.concat_ws(
+                ", ",
+                *[F.concat(F.lit(f"{n}: "), F.get(m, F.lit(i))) for i, n in enumerate(names)],
+            ),
         )
 
     def verdict(self, a: Column, b: Column, **_: Column) -> Column:
         """The higher sum of marks wins, A when equal."""
-        total_a = sum(self._marks(a)[1:], self._marks(a)[0])
-        total_b = sum(self._marks(b)[1:], self._marks(b)[0])
-        return F.when(total_b > total_a, "B").otherwise("A")
+
+        def total(text: Column) -> Column:
+            return F.aggregate(self._marks(text), F.lit(0), lambda acc, m: acc + m)
+
+        return F.when(total(b) > total(a), "B").otherwise("A")
 
 
 def _looks_like_json(content: str) -> bool:

@@ -32,15 +32,21 @@ def salt(*columns: str | Column, salts: int = SALTS) -> Column:
 
 
 def lookup_join(
-    big: DataFrame, small: DataFrame, on: list[str], spread: str | Column, salts: int = SALTS
+    big: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    spread: str | Column,
+    bound: DataFrame | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Inner join of a large frame with a frame that is usually small.
 
-    Measured small: broadcast, the large side does not move.  Otherwise both sides are salted:
+    ``bound`` is a cheaper frame that has at least the rows of ``small``; it is measured in its
+    place.  Measured small: broadcast, the large side does not move.  Otherwise both sides are salted:
     rows of one key are spread over ``salts`` tasks by ``spread`` and the other side is repeated
     per salt, so that a key with a third of all rows does not land in one task.
     """
-    if fits_broadcast(small):
+    if fits_broadcast(small if bound is None else bound):
         return big.join(F.broadcast(small), on)
     left = big.withColumn("_salt", salt(spread, salts=salts))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -139,7 +139,7 @@ def _play_rounds(
     both of its items; ready games share no item, so playing them together changes nothing.
     """
     spark = games.sparkSession
-    left = checkpointed(games)
+    left = games
     ratings = spark.createDataFrame(
         [], "aspect string, tournament string, item long, rating double, games long"
     )
@@ -197,9 +197,10 @@ def elo_ratings(
 ) -> DataFrame:
     """``(aspect, tournament, item, rating, games)`` of every item that plays.
 
-    ``seq`` is the order of the games; it is unique in a tournament.
+    ``seq`` is the order of the games; it is unique in a tournament.  Results may come straight
+    from a judge, so they are written once before they are read several times.
     """
-    games = results.filter(F.col("winner").isNotNull()).select(
+    played = results.filter(F.col("winner").isNotNull()).select(
         F.col("aspect").cast("string").alias("aspect"),
         F.col("tournament").cast("string").alias("tournament"),
         F.col("seq").cast("long").alias("seq"),
@@ -207,6 +208,7 @@ def elo_ratings(
         F.col("j").cast("long").alias("j"),
         F.when(F.col("winner") == "A", 1.0).otherwise(0.0).alias("won"),
     )
+    games = checkpointed(played)
     alone = _isolated(games)
     closed = alone.select(
         *KEYS,

@@ -82,10 +82,14 @@ def is_json(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
+def _read(answer: Column, kind: str) -> Column:
+    """The repaired answer as ``kind``, null when it is not JSON."""
+    return let(jsontext.repair(answer), lambda x: F.when(is_json(x), F.from_json(x, kind)))
+
+
 def parse_semantics(answer: Column) -> Column:
     """Answer about one column -> struct, null when it does not parse."""
-    fixed = jsontext.repair(answer)
-    return F.when(is_json(fixed), F.from_json(fixed, SEMANTICS))
+    return _read(answer, SEMANTICS)
 
 
 def parse_group_semantics(answer: Column, asked: Column) -> Column:
@@ -93,10 +97,8 @@ def parse_group_semantics(answer: Column, asked: Column) -> Column:
 
     Columns nobody asked for are dropped, columns without an answer are left out.
     """
-    fixed = jsontext.repair(answer)
-    answers = F.when(is_json(fixed), F.from_json(fixed, f"map<string,{SEMANTICS}>"))
     found = let(
-        answers,
+        _read(answer, f"map<string,{SEMANTICS}>"),
         lambda by_name: F.transform(
             asked,
             lambda name: F.struct(

@@ -7,10 +7,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a stage table; a declared schema saves reading footers to infer one."""
+def read_stage(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    spread: bool = False,
+) -> DataFrame:
+    """Read a stage table; a declared schema saves reading footers to infer one.
+
+    ``spread`` is for tables with costly rows (long texts): a table so small that its files give
+    fewer tasks than the session has cores is dealt out over the cores.  A larger table is left
+    as it is and does not move.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores and not _is_large(df):
+        return df.repartition(cores)
+    return df
+
+
+SMALL_TABLE_BYTES = 1 << 30
+
+
+def _is_large(df: DataFrame) -> bool:
+    """More than a gigabyte of files, by the statistics of the scan; runs no job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) > SMALL_TABLE_BYTES
 
 
 def write_stage(

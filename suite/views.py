@@ -24,7 +24,10 @@ SPARSE_ABOVE = 0.1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_stage(spark, f"{folder}/{name}.parquet")
+    return read_stage(spark, f"{folder}/{name}.parquet", spread=name in LONG_TEXTS)
+
+
+LONG_TEXTS = ("documents", "pages", "conversations")
 
 
 # --- datasets from orders -----------------------------------------------------------------
