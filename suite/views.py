@@ -24,10 +24,11 @@ SPARSE_ABOVE = 0.1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_stage(spark, f"{folder}/{name}.parquet", spread=name in LONG_TEXTS)
+    return read_stage(spark, f"{folder}/{name}.parquet", spread=name in COSTLY_ROWS)
 
 
-LONG_TEXTS = ("documents", "pages", "conversations")
+# Tables whose rows carry much work: long texts, or a whole dataset to describe.
+COSTLY_ROWS = ("documents", "pages", "conversations", "orders")
 
 
 # --- datasets from orders -----------------------------------------------------------------
