@@ -30,25 +30,29 @@ from .common import small_batches, whole
 
 SLICE_CHARS = 2_000_000
 SLICE_WORDS = 20_000
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 400_000
 PIECE_TOKENS = 200_000
 MEMORY = "200MB"
 
+# ``least`` is rank and place of the pair that was contracted last; null ends a word.
 CONTRACT = """
-    WITH RECURSIVE step(word, ids) AS (
-        SELECT word, ids FROM words
+    WITH RECURSIVE step(word, ids, least) AS (
+        SELECT word, ids, 0::BIGINT FROM words
         UNION ALL
-        SELECT word, ids[:place - 1] || [least // 4294967296] || ids[place + 2:]
-        FROM (
-            SELECT token.word, any_value(token.ids) AS ids,
-                   min(merges.rank * 4294967296 + token.place) AS least,
-                   min(merges.rank * 4294967296 + token.place) % 4294967296 AS place
-            FROM (SELECT word, ids, unnest(range(1, len(ids))) AS place FROM step WHERE len(ids) > 1) token
+        SELECT step.word,
+               CASE WHEN pair.least IS NULL THEN step.ids
+                    ELSE step.ids[:pair.least % 4294967296 - 1] || [pair.least // 4294967296] || step.ids[pair.least % 4294967296 + 2:] END,
+               pair.least
+        FROM step
+        LEFT JOIN (
+            SELECT token.word, min(merges.rank * 4294967296 + token.place) AS least
+            FROM (SELECT word, ids, unnest(range(1, len(ids))) AS place FROM step WHERE least IS NOT NULL) token
             JOIN merges ON merges.pair = token.ids[token.place] * 4294967296 + token.ids[token.place + 1]
             GROUP BY token.word
-        )
+        ) pair ON pair.word = step.word
+        WHERE step.least IS NOT NULL
     )
-    SELECT word, arg_min(ids, len(ids)) AS ids FROM step GROUP BY word ORDER BY word
+    SELECT word, ids FROM step WHERE least IS NULL ORDER BY word
 """
 
 DECODE = """
