@@ -249,6 +249,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return marked.join(named, "fp").select(id_column, hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _row_key(id_column: str, text_hash: Column) -> Column:
+    """A string, never null, so that one exchange serves both the window and the join."""
+    return F.concat_ws(":", F.col(id_column).cast("string"), text_hash.cast("string"))
+
+
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words_per_shingle: int = 3, distance: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the row with the least id, with all its columns.
 
@@ -257,10 +262,8 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     marked = written(fingerprints(docs, id_column, text, words_per_shingle), "fingerprints")
     rank = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.col("text_hash").alias("hash"))
     least = marked.groupBy("fp").agg(F.min(rank).alias("least")).join(classes(marked, distance), "fp")
-    first = least.groupBy("root").agg(F.min("least").alias("stay")).select("stay.id", "stay.hash")
+    first = least.groupBy("root").agg(F.min("least").alias("stay")).select(_row_key("stay.id", F.col("stay.hash")).alias("key"))
     names = docs.columns
-    keyed = docs.select(F.struct(*names).alias("row"), F.col(id_column).alias("own_id"), F.xxhash64(whole(text)).alias("own_hash"))
-    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash"))
-    copies = Window.partitionBy("own_id", "own_hash").orderBy("own_hash")
-    stay = keyed.join(first, same, "left_semi").withColumn("copy", F.row_number().over(copies))
-    return stay.filter("copy = 1").select("row.*")
+    copies = Window.partitionBy("key").orderBy(F.lit(0))
+    keyed = docs.select(F.struct(*names).alias("row"), _row_key(id_column, F.xxhash64(whole(text))).alias("key")).withColumn("copy", F.row_number().over(copies))
+    return keyed.filter("copy = 1").join(first, "key", "left_semi").select("row.*")
