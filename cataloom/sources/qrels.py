@@ -10,13 +10,17 @@ def read_qrels(spark: SparkSession, path: str) -> DataFrame:
     """Flat judgements ``(position, document, topic, score)``.
 
     Four comma fields after one header line, no quoting; the document is the second segment of
-    its path.  ``position`` keeps the order of the lines.
+    its path.  ``position`` keeps the order of the files by path and of the lines in each.
     """
     lines = spark.read.option("header", True).option("quote", "").schema(
         "topic string, relevance string, document string, rest string"
     ).csv(path)
     return lines.select(
-        F.monotonically_increasing_id().alias("position"),
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("position"),
         F.coalesce(F.try_element_at(F.split("document", "/"), F.lit(2)), F.lit("")).alias(
             "document"
         ),

@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_stage(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    spread: bool = False,
-) -> DataFrame:
-    """Read a stage table; a declared schema saves reading footers to infer one.
-
-    ``spread`` is for tables with costly rows (long texts): a table so small that its files give
-    fewer tasks than the session has cores is dealt out over the cores.  A larger table is left
-    as it is and does not move.
-    """
+def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a stage table; a declared schema saves reading footers to infer one."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < cores and not _is_large(df):
-        return df.repartition(cores)
-    return df
-
-
-SMALL_TABLE_BYTES = 1 << 30
-
-
-def _is_large(df: DataFrame) -> bool:
-    """More than a gigabyte of files, by the statistics of the scan; runs no job."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) > SMALL_TABLE_BYTES
+    return reader.parquet(path)
 
 
 def write_stage(
@@ -51,8 +30,8 @@ def write_stage(
 
 
 def append_progress(df: DataFrame, path: str, batch_id: str) -> None:
-    """Replace one batch of results below ``path``; writing a batch again is harmless."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    """Add results below ``path`` in a folder of their own; nothing that is there is touched."""
+    df.write.parquet(f"{path}/batch={batch_id}-{uuid.uuid4().hex}")
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
@@ -65,15 +44,21 @@ def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def resume_progress(todo: DataFrame, path: str, key: str, work, batch_id: str) -> DataFrame:
-    """Run ``work`` on the rows not finished below ``path``, save them, return all results."""
+    """Run ``work`` on the rows not finished below ``path``, save them, return all results.
+
+    Each run writes a folder of its own, so a batch id may come again, also after a run that broke:
+    what that run did not finish writing is not read.  A run with nothing left to do writes nothing.
+    """
     spark = todo.sparkSession
     try:
         rest = pending(todo, read_progress(spark, path), key)
-    except Exception as missing:  # nothing saved yet
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:  # nothing saved yet
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        rest = todo
-    append_progress(work(rest), path, batch_id)
+        append_progress(work(todo), path, batch_id)
+        return read_progress(spark, path)
+    if not rest.isEmpty():
+        append_progress(work(rest), path, batch_id)
     return read_progress(spark, path)
 
 
@@ -85,10 +70,3 @@ def write_records_json(df: DataFrame, path: str, columns: list[str] | None = Non
 
 def read_records_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
-
-
-def record_json(df: DataFrame) -> DataFrame:
-    """The JSON text of every row as one column, as :func:`write_records_json` writes it."""
-    return df.select(
-        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record")
-    )

@@ -151,7 +151,7 @@ def nested_qrels(spark, folder):
     "SELECT CAST(conv_id AS VARCHAR) AS conv_id, count(*) AS turns, max(length(text)) AS longest FROM conversations GROUP BY 1",
 )
 def resume_progress(spark, folder):
-    """First the system conversations are done and saved, then a second run does the rest."""
+    """First the system conversations are done and saved; the same batch id then runs twice more."""
     turns = views.table(spark, folder, "conversations").withColumn(
         "conv_id", F.col("conv_id").cast("string")
     )
@@ -164,7 +164,8 @@ def resume_progress(spark, folder):
 
     with_system = turns.filter(F.col("role") == "system").select("conv_id").distinct()
     stages.append_progress(work(turns.join(with_system, "conv_id", "left_semi")), path, "a")
-    return stages.resume_progress(turns, path, "conv_id", work, "b").drop("batch")
+    stages.resume_progress(turns, path, "conv_id", work, "a")
+    return stages.resume_progress(turns, path, "conv_id", work, "a").drop("batch")
 
 
 @query(
