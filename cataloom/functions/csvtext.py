@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from .text import blank_to_null, let, strip
 
-# One record (quoted parts may hold line ends), one field after its comma.
-RECORD = r'(?:[^"\r\n]++|"[^"]*+")++'
-FIELD = r',((?:[^,"]++|"[^"]*+")*+)'
+# A quote opens only at the start of a field.  A quoted part may hold commas, line ends and doubled
+# quotes; what follows its end belongs to the field.  An open quote runs to the end of the text.
+QUOTED = '"(?:[^"]++|"")*+'
+FIELD = f'(?:{QUOTED}(?:"[^,\r\n]*+)?+|[^,\r\n]*+)'
+RECORD = rf"(?=[^\r\n]){FIELD}(?:,{FIELD})*+"
+CLOSED = f'^(?:{QUOTED}"[^,\r\n]*+|[^",\r\n][^,\r\n]*+|[,\r\n])*+$'
 
 # Cell texts a CSV reader takes as missing.
 MISSING = [
@@ -23,11 +26,11 @@ MISSING = [
 
 
 def unquote(field: Column) -> Column:
-    inner = F.replace(
-        F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"')
-    )
-    quoted = field.startswith('"') & field.endswith('"') & (F.length(field) >= 2)
-    return F.when(quoted, inner).otherwise(field)
+    """The value of a field: the quoted part with its doubled quotes made single, then the rest."""
+    quoted = F.regexp_extract(field, f"^{QUOTED}", 0)
+    rest = F.substr(field, F.length(quoted) + 2)
+    value = F.replace(F.substr(quoted, F.lit(2)), F.lit('""'), F.lit('"'))
+    return F.when(field.startswith('"'), F.concat(value, rest)).otherwise(field)
 
 
 def quote(value: Column) -> Column:
@@ -43,7 +46,7 @@ def records(text: Column) -> Column:
 
 
 def fields(record: Column) -> Column:
-    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(FIELD), F.lit(1))
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({FIELD})"), F.lit(1))
     return F.transform(raw, unquote)
 
 
@@ -53,8 +56,8 @@ def rows(text: Column) -> Column:
 
 
 def is_parsable(text: Column) -> Column:
-    """False when a quote is left open."""
-    return F.coalesce(F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 0, F.lit(False))
+    """False when a field is left open."""
+    return F.coalesce(text.rlike(CLOSED), F.lit(False))
 
 
 def missing_to_null(value: Column) -> Column:

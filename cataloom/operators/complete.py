@@ -11,6 +11,7 @@ prompts stay where their rows are and nothing but prompt and answer crosses into
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
@@ -198,12 +199,13 @@ class OfflineProvider(Provider):
 
 
 def _looks_like_json(content: str) -> bool:
-    """True when the text between the outermost braces is a JSON object once braces match."""
+    """True when the repair of ``functions.jsontext`` makes a JSON object of the text."""
     start, end = content.find("{"), content.rfind("}")
     if start < 0 or end < start:
         return False
     body = content[start : end + 1]
     body += "}" * max(0, body.count("{") - body.count("}"))
+    body = re.sub(r",\s*\}", "}", body)
     try:
         return isinstance(json.loads(body), dict)
     except ValueError:

@@ -219,23 +219,33 @@ def require_rows(df: DataFrame, message: str = "no metadata rows in any source")
 
 
 def tag_sample_status(metadata: DataFrame, samples: DataFrame) -> DataFrame:
-    """Left join of metadata with ``(download_url, sample_csv[, error_message])``.
+    """Every row of metadata with its sample: ``success`` when it has visible text, else ``error``
+    with the reason.
 
-    ``success`` when the sample has visible text, else ``error`` with the reason.  Rows without
-    an address cannot match; their join key is spread so that they do not fill one task.
+    Samples ``(source, dataset_id, sample_csv[, error_message])`` belong to one dataset; samples
+    that name only a ``download_url`` serve every dataset of that address.  Either way a key gets one
+    sample, the first of those that succeeded, so no row is multiplied.  Rows without an address
+    cannot match; their join key is spread so that they do not fill one task.
     """
     has_url = has_visible_text(F.col("download_url"))
-    found = samples.select(
-        F.col("download_url").alias("_url"),
-        F.col("sample_csv").alias("_sample"),
-        (
-            F.col("error_message") if "error_message" in samples.columns else F.lit(None)
-        ).cast("string").alias("_error"),
+    error = (F.col("error_message") if "error_message" in samples.columns else F.lit(None)).cast("string")
+    sample = F.struct(
+        F.when(has_visible_text(F.col("sample_csv")) & error.isNull(), 0).otherwise(1).alias("rank"),
+        F.col("sample_csv").alias("text"),
+        error.alias("error"),
     )
-    key = F.when(has_url, F.col("download_url")).otherwise(
+    own = {"source", "dataset_id"} <= set(samples.columns)
+    named = F.to_json(F.struct("source", "dataset_id")) if own else F.col("download_url")
+    found = (
+        samples.select(named.alias("_key"), sample.alias("_s"))
+        .groupBy("_key")
+        .agg(F.min("_s").alias("_s"))
+        .select("_key", F.col("_s.text").alias("_sample"), F.col("_s.error").alias("_error"))
+    )
+    key = F.when(has_url, named).otherwise(
         F.concat(F.lit("\x00"), F.xxhash64("dataset_id", "title").cast("string"))
     )
-    joined = metadata.withColumn("_url", key).join(found, "_url", "left")
+    joined = metadata.withColumn("_key", key).join(found, "_key", "left")
     ok = has_visible_text(F.col("_sample")) & F.col("_error").isNull()
     reason = F.when(~has_url, F.lit(MISSING_URL)).otherwise(
         F.coalesce(F.col("_error"), F.lit(EMPTY_SAMPLE))

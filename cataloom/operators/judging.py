@@ -219,7 +219,7 @@ def compare_batch(
 
 
 def win_rates(results: DataFrame, items: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Wins over plays per item and aspect, 0 without plays.
+    """Wins over plays per item and aspect, 0 without plays; a comparison without a winner is no play.
 
     ``results`` has ``aspect, *by, i, j, winner``; ``items`` lists ``(aspect, *by, item)``.
     """
@@ -230,7 +230,8 @@ def win_rates(results: DataFrame, items: DataFrame, by: list[str] | None = None)
         F.struct(F.col("j").alias("item"), (~won_by_a).cast("long").alias("won")),
     )
     played = (
-        results.select(*keys, F.explode(sides).alias("s"))
+        results.filter(F.col("winner").isNotNull())
+        .select(*keys, F.explode(sides).alias("s"))
         .groupBy(*keys, F.col("s.item").alias("item"))
         .agg(F.sum("s.won").alias("wins"), F.count(F.lit(1)).alias("plays"))
     )

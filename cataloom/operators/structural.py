@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import PROFILE_HEADING
+from ..functions.text import let
 from .sampling import with_table
 
 # What the texts of a type look like.
@@ -27,11 +28,38 @@ def _all(values: Column, pattern: str) -> Column:
     return F.forall(values, lambda v: v.rlike(pattern))
 
 
+# The parts of a double in scientific notation, as Spark writes it.
+SCIENTIFIC = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+
+
 def number_text(value: Column) -> Column:
-    """A double without exponent: ``0`` for zero, else at least one decimal place."""
-    plain = F.regexp_replace(value.cast("decimal(38,9)").cast("string"), "0+$", "")
-    padded = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    return F.when(value == 0, F.lit("0")).otherwise(padded)
+    """A double in the fewest digits that tell it: ``0`` for zero, else at least one decimal place,
+    with an exponent from 1e16 up and below 1e-4.  Any double has a text."""
+
+    def plain(t: Column) -> Column:
+        sign, first, rest, power = (F.regexp_extract(t, SCIENTIFIC, i) for i in (1, 2, 3, 4))
+        tail = F.when(rest == "0", F.lit("")).otherwise(rest)
+        digits = F.concat(first, tail)
+        exponent = F.when(t.contains("E"), power).otherwise("0").cast("int")
+        whole = F.rpad(digits, exponent + 1, "0")
+        behind = F.substr(digits, exponent + 2)
+        large = F.concat(sign, whole, F.lit("."), F.when(behind == "", F.lit("0")).otherwise(behind))
+        small = F.concat(sign, F.lit("0.000"), digits)
+        mantissa = F.concat(sign, first, F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)))
+        size = F.abs(exponent).cast("string")
+        shown = F.concat(
+            mantissa,
+            F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+            F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size),
+        )
+        return (
+            F.when(~t.contains("E"), t)
+            .when((exponent > 0) & (exponent < 16), large)
+            .when(exponent == -4, small)
+            .otherwise(shown)
+        )
+
+    return F.when(value == 0, F.lit("0")).otherwise(let(value.cast("string"), plain))
 
 
 def _range_low(low: Column) -> Column:
