@@ -103,44 +103,6 @@ def score_averages(spark, folder):
     return means.select("n", *[F.round(c, 6).alias(c) for c in [*judging.DIMENSIONS, "overall"]])
 
 
-EVALUATED_SQL = (
-    "WITH "
-    + views.PAIRS_SQL
-    + f""" SELECT dataset_id, 'Completeness: ' || m[1] || ', Conciseness: ' || m[2] || ', Readability: ' || m[3] AS score_text,
-  CAST(m[1] AS INTEGER) AS completeness, CAST(m[2] AS INTEGER) AS conciseness, CAST(m[3] AS INTEGER) AS readability
-FROM (SELECT dataset_id, {marks_sql("generated_description")} AS m FROM text_pairs)"""
-)
-
-
-@query("evaluate_catalog", EVALUATED_SQL)
-def evaluate_catalog(spark, folder):
-    pairs = prepare.successes(views.text_pairs(spark, folder))
-    return judging.scored(judging.evaluate_texts(pairs, OFFLINE)).select(
-        "dataset_id", "score_text", *judging.DIMENSIONS
-    )
-
-
-class LengthJudge(complete.OfflineProvider):
-    """A judge of one's own: the mark is the number of lines."""
-
-    def quality(self, description, **_):
-        n = F.size(F.split(description, "\n")).cast("string")
-        return F.concat_ws(" ", n, n, n)
-
-
-@query(
-    "pluggable_evaluator",
-    "WITH "
-    + views.PAIRS_SQL
-    + """, n AS (SELECT dataset_id, CAST(len(string_split(generated_description, chr(10))) AS INTEGER) AS n FROM text_pairs)
-SELECT dataset_id, n AS completeness, n AS conciseness, n AS readability FROM n""",
-)
-def pluggable_evaluator(spark, folder):
-    facade = describe.Describer(OFFLINE)
-    facade.set_evaluator(LengthJudge())
-    return facade.evaluate(views.text_pairs(spark, folder)).select("dataset_id", *judging.DIMENSIONS)
-
-
 # --- pairwise -----------------------------------------------------------------------------
 
 

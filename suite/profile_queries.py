@@ -433,107 +433,6 @@ def search_prompt(spark, folder):
     )
 
 
-@query(
-    "complete_offline",
-    "WITH "
-    + views.DESCRIPTIONS_SQL
-    + """ SELECT s.dataset_id, t.topic AS content, CASE WHEN s.sample_csv IS NULL THEN 'error' ELSE 'success' END AS status,
-  CASE WHEN s.sample_csv IS NULL THEN 'no_answer' END AS error, CAST(1 AS INTEGER) AS attempts
-FROM samples s LEFT JOIN told t USING (dataset_id)""",
-)
-def complete_offline(spark, folder):
-    """One topic per record from the rule provider; records without sample are not asked."""
-    profiled = structural.sample_profiles(views.samples(spark, folder))
-    prompt = prompts.topic_prompt(
-        F.col("title"), F.col("original_description"), F.col("sample_csv")
-    )
-    answered = complete.complete(
-        profiled,
-        "topic",
-        prompt,
-        OFFLINE,
-        {"title": F.col("title"), "profile": F.col("profile")},
-    )
-    return answered.select(
-        "dataset_id", "answer.content", "answer.status", "answer.error", "answer.attempts"
-    )
-
-
-WORDS_SQL = "len(list_filter(regexp_split_to_array(lower({0}), '[ \\t\\n\\r\\f\\v]+'), lambda t: t <> ''))"
-
-
-class WordCountClient:
-    """A chat client that answers with the size of its prompt and fails on long ones once."""
-
-    def __init__(self):
-        self.failed = set()
-
-    def chat_completions_create(self, model, messages, temperature=0.0, **kwargs):
-        text = messages[-1]["content"]
-        n = len(text.split())
-        if n > 200 and text not in self.failed:
-            self.failed.add(text)
-            raise RuntimeError("too long, try again")
-        return {
-            "choices": [{"message": {"role": "assistant", "content": f"{n} words for {model}"}}],
-            "usage": {"prompt_tokens": n, "completion_tokens": 4, "total_tokens": n + 4},
-        }
-
-
-@query(
-    "complete_client",
-    "WITH "
-    + views.PAIRS_SQL
-    + f""", t AS (SELECT dataset_id, CAST({WORDS_SQL.format("generated_description")} AS BIGINT) AS n FROM text_pairs)
-SELECT dataset_id, n || ' words for counter' AS content, 'success' AS status, n + 4 AS total_tokens,
-  CAST(CASE WHEN n > 200 THEN 2 ELSE 1 END AS INTEGER) AS attempts FROM t""",
-)
-def complete_client(spark, folder):
-    """A pluggable chat client, with a retry for some rows."""
-    provider = complete.ClientProvider(WordCountClient, "counter")
-    answered = complete.complete(
-        views.text_pairs(spark, folder), "topic", F.col("generated_description"), provider
-    )
-    return answered.select(
-        "dataset_id", "answer.content", "answer.status", "answer.total_tokens", "answer.attempts"
-    )
-
-
-class HalfJsonClient:
-    """Answers with JSON only from the second try on, and never for questions with a ß."""
-
-    def __init__(self):
-        self.asked = {}
-
-    def chat_completions_create(self, model, messages, temperature=0.0, **kwargs):
-        text = messages[-1]["content"]
-        self.asked[text] = self.asked.get(text, 0) + 1
-        good = self.asked[text] > 1 and "ß" not in text
-        content = 'Well: {"c": {"Entity Type": "Thing"} so' if good else "no idea"
-        return {"choices": [{"message": {"content": content}}]}
-
-
-@query(
-    "retry_unparsed",
-    "WITH "
-    + views.PAIRS_SQL
-    + """ SELECT dataset_id, CAST(CASE WHEN contains(original_description, 'ß') THEN 3 ELSE 2 END AS INTEGER) AS attempts,
-  CASE WHEN NOT contains(original_description, 'ß') THEN 'Thing' END AS entity_type FROM text_pairs""",
-)
-def retry_unparsed(spark, folder):
-    """Unparsable answers are asked again, at most three times in all."""
-    provider = complete.ClientProvider(HalfJsonClient, "half")
-    answered = complete.complete(
-        views.text_pairs(spark, folder), "group_semantics", F.col("original_description"), provider
-    )
-    found = semantics.parse_group_semantics(F.col("answer.content"), F.array(F.lit("c")))
-    return answered.select(
-        "dataset_id",
-        "answer.attempts",
-        F.get(found, F.lit(0))["semantics"]["Entity Type"].alias("entity_type"),
-    )
-
-
 _PLAIN_TOLD = "replace(d.generated_description, ' Its topic is ' || d.topic || '.', '')"
 
 

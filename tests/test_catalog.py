@@ -224,3 +224,53 @@ def test_list_text_is_json(spark):
     out = df.select(jsontext.list_text(F.col("x"))).first()[0]
     assert json.loads(out) == texts
     assert out.startswith('["plain", "q')
+
+
+def test_resume_loses_nothing_when_a_batch_id_comes_again(spark, tmp_path):
+    path = str(tmp_path / "progress")
+    todo = spark.range(10).withColumn("id", F.col("id").cast("string"))
+
+    def work(df):
+        return df.withColumn("done", F.lit(True))
+
+    assert stages.resume_progress(todo.filter("id < 4"), path, "id", work, "1").count() == 4
+    (tmp_path / "progress" / "batch=broken").mkdir()  # what a run leaves that broke before its commit
+    (tmp_path / "progress" / "batch=broken" / "_temporary").mkdir()
+    for _ in range(2):
+        assert stages.resume_progress(todo, path, "id", work, "1").count() == 10
+
+
+def test_csv_quotes_open_at_the_start_of_a_field_only(spark):
+    import csv
+    import io
+    import random
+
+    pick = random.Random(1)
+    texts = ['1,"open, cell', '5" pipe', '5" pipe,7" tube', 'a,"b ""c"" d"e,f\n"x\ny",z', '"a""', '""']
+    texts += ["".join(pick.choice(['"', '""', ",", "\n", "a", " b", "\r\n"]) for _ in range(pick.randrange(1, 15))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r["i"]: (r["rows"], r["ok"]) for r in df.select("i", csvtext.rows(F.col("text")).alias("rows"), csvtext.is_parsable(F.col("text")).alias("ok")).collect()}
+    for i, text in enumerate(texts):
+        want = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+        assert got[i][0] == want, text
+        # A line end added at the end is taken into a cell only if that cell is open.
+        more = [r for r in csv.reader(io.StringIO(text + "\n.", newline="")) if r]
+        assert got[i][1] == (more == [*want, ["."]]), text
+    assert [got[i][1] for i in range(6)] == [False, True, True, True, False, True]
+
+
+def test_landed_csv_cut_inside_a_cell(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h1,h2\n1,"first\nsecond\nthird"\n2,b\n')
+    found = landed.sample_landed_csv(spark, str(tmp_path), max_rows=2).first()["sample_csv"]
+    assert found == 'h1,h2\n1,"first\nsecond"'
+
+
+def test_a_shared_address_does_not_multiply_rows(spark):
+    meta = spark.createDataFrame(
+        [("a", "u"), ("b", "u")], "dataset_id string, download_url string"
+    ).selectExpr("dataset_id", "'s' source", "'t' title", "null original_description", "download_url", "null landing_page_url")
+    by_url = spark.createDataFrame([("u", None, "HTTP 500"), ("u", "x", None)], "download_url string, sample_csv string, error_message string")
+    rows = ingest.tag_sample_status(meta, by_url).collect()
+    assert sorted((r.dataset_id, r.sample_csv, r.sample_fetch_status) for r in rows) == [("a", "x", "success"), ("b", "x", "success")]
+    own = spark.createDataFrame([("s", "a", "x"), ("s", "b", "y"), ("s", "b", "y")], "source string, dataset_id string, sample_csv string")
+    assert sorted(r.sample_csv for r in ingest.tag_sample_status(meta, own).collect()) == ["x", "y"]

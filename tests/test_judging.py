@@ -128,3 +128,10 @@ def test_breakdown_has_zeros(spark):
     assert sorted(tuple(r) for r in judging.win_breakdown(df).collect()) == [("d", 0, 1), ("p", 2, 0)]
     totals = judging.win_totals(df).first()
     assert (totals.pairs, totals.generated_wins, totals.generated_share) == (3, 2, 66.7)
+
+
+def test_failed_comparisons_are_no_plays(spark):
+    results = spark.createDataFrame([("o", 1, 2, "A"), ("o", 1, 2, None)], "aspect string, i long, j long, winner string")
+    items = spark.createDataFrame([("o", 1), ("o", 2)], "aspect string, item long")
+    got = {r["item"]: (r["wins"], r["plays"], r["win_rate"]) for r in judging.win_rates(results, items).collect()}
+    assert got == {1: (1, 1, 1.0), 2: (0, 1, 0.0)}

@@ -233,3 +233,27 @@ def test_coverage_counts_are_those_of_single_groupings(spark):
     assert rows["source,has_topic", "s", False] == 1
     assert rows["source", None, None] == 1
     assert len(rows) == 7
+
+
+def test_any_double_has_a_text(spark):
+    import random
+
+    pick = random.Random(1)
+    values = [1e30, 1e-12, -1e-4, 0.0001234, 1e15, 1e16, 123456789.125, -0.1, 5e-324, 1.7976931348623157e308, 1e7, 99999999.0]
+    values += [pick.uniform(-1, 1) * 10.0 ** pick.randrange(-20, 25) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["v"]: r["t"] for r in df.select("v", structural.number_text(F.col("v")).alias("t")).collect()}
+    assert all(float(t) == v and ("e" in t) == ("e" in repr(v)) and "E" not in t for v, t in got.items())
+    assert [got[v] for v in (1e30, 1e-12, -1e-4, 123456789.125, 1e7)] == ["1e+30", "1e-12", "-0.0001", "123456789.125", "10000000.0"]
+
+
+def test_a_large_cell_does_not_stop_the_others(spark):
+    df = spark.createDataFrame([("a", "n\n1e30\n1e-12"), ("b", "n\n1\n2")], "dataset_id string, sample_csv string")
+    texts = {r.dataset_id: r.dataset_profile for r in structural.render_profiles(df).collect()}
+    assert "to 1e+30. " in texts["a"] and "to 2.0. " in texts["b"]
+
+
+def test_comma_before_a_closing_brace_is_an_answer():
+    from cataloom.operators.complete import _looks_like_json
+
+    assert _looks_like_json('so {"a": 1,} ok') and _looks_like_json('{"a": {"b": 1, } ,}') and not _looks_like_json("{a}")

@@ -243,3 +243,17 @@ def test_meteor(spark):
 )
 def test_stems_of_the_published_algorithm(word, root):
     assert stem(word) == root
+
+
+def test_lists_are_filled_exactly_when_hits_score_below_zero(spark):
+    from cataloom.operators import retrieval
+
+    texts = ["aa bb"] * 60 + ["zz"]
+    docs = spark.createDataFrame([(i, i, t, 0.0) for i, t in enumerate(texts)], "doc_id long, doc_ord long, text string, qrel double")
+    asked = spark.createDataFrame([(1, "aa"), (2, "zz"), (3, "nothing")], "query_id long, query_text string")
+    found = {}
+    for r in retrieval.search(docs, asked, size=3).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    assert found[1][0] == (60, 0.0) and [d for d, _ in found[1]] == [60, 0, 1]
+    assert all(s < 0 for _, s in found[1][1:])
+    assert [d for d, _ in found[2]] == [60, 0, 1] and [d for d, _ in found[3]] == [0, 1, 2]
