@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts
 from ..functions.text import strip
 from .complete import Provider, complete
-from .joins import hashed_position
+from .joins import hashed_position, lookup_join
 
 DIMENSIONS = ["completeness", "conciseness", "readability"]
 
@@ -18,7 +18,10 @@ OVERALL = "overall"
 PAIRS_PER_TASK = 100_000
 
 # Strides for the pair draw; at least one is coprime to any pair count below their product.
-STRIDES = [1_000_003, 1_299_709, 15_485_863]
+# Draws step through the pair numbers by about this share of them, so any few are spread evenly.
+GOLDEN = 0.6180339887498949
+# No run of so many numbers, up to 2 ** 63, is without one that is coprime to a given number.
+STEPS_TRIED = 128
 
 
 def parse_scores(text: Column, labelled: bool = False) -> Column:
@@ -110,6 +113,24 @@ def _pair_at(index: Column) -> tuple[Column, Column]:
     return (index - before(j)).cast("long"), j.cast("long")
 
 
+def _coprime(a: Column, b: Column) -> Column:
+    """True when ``a`` and ``b`` have no common divisor; ninety divisions are enough for longs."""
+    begin = F.struct(a.alias("a"), b.alias("b"))
+    turns = F.sequence(F.lit(1), F.lit(90))
+
+    def divided(state: Column, _: Column) -> Column:
+        return F.when(state["b"] == 0, state).otherwise(F.struct(state["b"].alias("a"), (state["a"] % F.nullif(state["b"], F.lit(0))).alias("b")))
+
+    return F.aggregate(turns, begin, divided, lambda x: x["a"] == 1)
+
+
+def _stride(total: Column) -> Column:
+    """The first number from the golden share of ``total`` on that is coprime to it."""
+    least = F.floor(total.cast("double") * GOLDEN).cast("long")
+    tried = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(STEPS_TRIED - 1).cast("long")), lambda d: least + d)
+    return F.get(F.filter(tried, lambda x: _coprime(x, total)), F.lit(0))
+
+
 def sample_pairs(
     sizes: DataFrame,
     strategy: str = "no_repeat",
@@ -118,8 +139,8 @@ def sample_pairs(
 ) -> DataFrame:
     """``(group, seq, i, j)`` for groups ``(group, n)``.
 
-    ``full``: every i < j.  ``no_repeat``: a draw of ``max_pairs`` different pairs, all when it
-    is null or 0.  ``symmetric``: half as many, each followed up by its mirror image.
+    ``full``: every i < j.  ``no_repeat``: a draw of ``max_pairs`` different pairs, all when there
+    are fewer.  ``symmetric``: half as many, each followed up by its mirror image.
 
     A pair is computed from its running number, so a draw of m pairs costs m rows whatever the
     size of the group; pairs are never listed to be thrown away.  ``full`` returns them all
@@ -127,26 +148,22 @@ def sample_pairs(
     """
     if strategy not in ("full", "no_repeat", "symmetric"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy != "full" and not max_pairs:
+        raise ValueError("a draw needs max_pairs; the strategy 'full' lists every pair")
     limit = max_pairs if strategy != "full" else None
-    if strategy == "symmetric" and limit:
-        limit = limit // 2
-        wanted: Column = F.least(F.col("_all"), F.lit(limit).cast("long"))
-    elif limit:
+    wanted: Column = F.col("_all")
+    if limit:
+        limit = limit // 2 if strategy == "symmetric" else limit
         wanted = F.least(F.col("_all"), F.lit(limit).cast("long"))
-    else:
-        wanted = F.col("_all")
 
     n = F.col("n").cast("long")
     start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("group").cast("string"))), 1, 8), 16, 10)
-    stride = F.lit(None).cast("long")
-    for prime in reversed(STRIDES):
-        stride = F.when(F.col("_all") % prime != 0, F.lit(prime).cast("long")).otherwise(stride)
     numbered = (
         sizes.withColumn("_all", (n * (n - 1) / 2).cast("long"))
         .withColumn("_wanted", wanted)
         .filter(F.col("_wanted") > 0)
         .withColumn("_start", start.cast("long") % F.col("_all"))
-        .withColumn("_stride", stride % F.col("_all"))
+        .withColumn("_stride", _stride(F.col("_all")))
         .withColumn(
             "_block",
             F.explode(
@@ -170,7 +187,8 @@ def sample_pairs(
     if strategy == "full":
         index = F.col("seq")
     else:
-        index = (F.col("_start") + F.col("seq") * F.col("_stride")) % F.col("_all")
+        steps = F.col("seq").cast("decimal(19,0)") * F.col("_stride").cast("decimal(18,0)")
+        index = ((F.col("_start") + steps) % F.col("_all")).cast("long")
     i, j = _pair_at(F.col("_index"))
     drawn = numbered.withColumn("_index", index).select(
         "group", "seq", i.alias("i"), j.alias("j"), "_wanted"
@@ -197,23 +215,21 @@ def compare_batch(
 ) -> DataFrame:
     """Pairwise results ``(aspect, group, seq, i, j, winner)`` of items ``(group, item, text)``.
 
-    Items get their place in the group in hashed order.  Texts are joined to the drawn pairs by
-    (group, place), which spreads a large group over all tasks.
+    Items get their place in the group in hashed order.  Places are joined without texts; then the
+    texts of the drawn items are looked up, so that the others never move.
     """
-    placed = hashed_position(items.select("group", "item", "text"), "group", "item", seed)
+    placed = hashed_position(items.select("group", "item"), "group", "item", seed)
     sizes = items.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
     pairs = sample_pairs(sizes, strategy, max_pairs, seed)
-
-    def side(name: str, text: str) -> DataFrame:
-        return placed.select(
-            "group",
-            F.col("pos").alias(name),
-            F.col("item").alias(f"item_{name}"),
-            F.col("text").alias(text),
-        )
-
-    both = pairs.join(side("i", "_a"), ["group", "i"]).join(side("j", "_b"), ["group", "j"])
-    return compare(both, provider, "_a", "_b").select(
+    for side in ("i", "j"):
+        at = placed.select("group", F.col("pos").alias(side), F.col("item").alias(f"item_{side}"))
+        pairs = pairs.join(at, ["group", side])
+    drawn = pairs.select("group", F.explode(F.array("item_i", "item_j")).alias("item")).distinct()
+    texts = lookup_join(items.select("group", "item", "text"), drawn, ["group", "item"], "item")
+    for side, text in (("i", "_a"), ("j", "_b")):
+        told = texts.select("group", F.col("item").alias(f"item_{side}"), F.col("text").alias(text))
+        pairs = pairs.join(told, ["group", f"item_{side}"])
+    return compare(pairs, provider, "_a", "_b").select(
         F.lit(OVERALL).alias("aspect"), "group", "seq", "i", "j", "item_i", "item_j", "winner"
     )
 

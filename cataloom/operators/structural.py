@@ -18,7 +18,17 @@ from .sampling import with_table
 INTEGER = r"^[+-]?[0-9]+$"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 BOOLEAN = "^(?i)(true|false|yes|no)$"
-DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
+DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?)?$"
+# Dates as portals write them, with a time of day at the end: 01/31/2020, 2020/01/31, 31 Jan 2020,
+# January 31, 2020.
+CLOCK = r"(?:,?[ T]([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.[0-9]+)?)? ?([AaPp][Mm])?)?$"
+NUMERIC_DATE = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})" + CLOCK
+YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})" + CLOCK
+DAY_MONTH = r"^([0-9]{1,2})[ -]([A-Za-z]{3})[a-z]*\.?[ ,-]+([0-9]{4})" + CLOCK
+MONTH_DAY = r"^([A-Za-z]{3})[a-z]*\.? ([0-9]{1,2}),? ([0-9]{4})" + CLOCK
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# Groups that hold year, month, day; None: the rule of the column decides between month and day.
+FORMS = {NUMERIC_DATE: (3, None, None), YEAR_FIRST: (1, 2, 3), DAY_MONTH: (3, 2, 1), MONTH_DAY: (3, 1, 2)}
 POINT = r"^(?i)(point ?)?\(-?[0-9.]+[ ,]+-?[0-9.]+\)$"
 LATITUDE = "^(?i)lat(itude)?$"
 LONGITUDE = "^(?i)(lon|lng|long|longitude)$"
@@ -32,6 +42,38 @@ def _all(values: Column, pattern: str) -> Column:
 SCIENTIFIC = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
 
 
+def _day_first(values: Column) -> Column:
+    """Numeric dates are month first, as in the United States, unless a first number exceeds 12."""
+    return F.exists(values, lambda v: F.regexp_extract(v, NUMERIC_DATE, 1).try_cast("int") > 12)
+
+
+def _month(text: Column) -> Column:
+    place = F.instr(F.lit(MONTHS), F.lower(text))
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("int")).when((place > 0) & (place % 3 == 1), ((place + 2) / 3).cast("int"))
+
+
+def moment(value: Column, day_first: Column) -> Column:
+    """The time a text tells, in ISO form or one of ``FORMS``; null when it tells none."""
+    out = F.when(value.rlike(DATE), F.try_to_timestamp(value))
+    for form, (year, month, day) in FORMS.items():
+        part = [F.regexp_extract(value, form, i) for i in range(8)]
+        first, second = (part[1], part[2]) if month is None else (part[month], part[day])
+        m = F.when(day_first, second).otherwise(first) if month is None else first
+        d = F.when(day_first, first).otherwise(second) if month is None else second
+        clock = [F.coalesce(part[i].try_cast("int"), F.lit(0)) for i in (4, 5, 6)]
+        half = F.lower(part[7])
+        hour = F.when(half == "", clock[0]).when(clock[0].between(1, 12), clock[0] % 12 + F.when(half == "pm", 12).otherwise(0))
+        made = F.try_make_timestamp(part[year].try_cast("int"), _month(m), d.try_cast("int"), hour, clock[1], clock[2].cast("decimal(16,6)"))
+        out = out.when(value.rlike(form), made)
+    return out
+
+
+def _tells_time(values: Column) -> Column:
+    """True when every value is a time, by forms that are tried only where they fit."""
+    looks = F.forall(values, lambda v: v.rlike("^[0-9A-Za-z]") & v.rlike("[0-9]{4}") & v.rlike("[/. -]"))
+    return looks & F.forall(values, lambda v: moment(v, _day_first(values)).isNotNull())
+
+
 def number_text(value: Column) -> Column:
     """A double in the fewest digits that tell it: ``0`` for zero, else at least one decimal place,
     with an exponent from 1e16 up and below 1e-4.  Any double has a text."""
@@ -96,13 +138,7 @@ def sample_profiles(df: DataFrame, column: str = "sample_csv") -> DataFrame:
             .when(_all(c["found"], INTEGER), "integer")
             .when(_all(c["found"], NUMBER), "float")
             .when(_all(c["found"], BOOLEAN), "boolean")
-            .when(
-                F.forall(
-                    c["found"],
-                    lambda v: v.rlike(DATE) & F.try_to_timestamp(v).isNotNull(),
-                ),
-                "datetime",
-            )
+            .when(_tells_time(c["found"]), "datetime")
             .otherwise("text")
             .alias("data_type"),
         ),
@@ -120,7 +156,7 @@ def sample_profiles(df: DataFrame, column: str = "sample_csv") -> DataFrame:
             ).alias("numbers"),
             F.when(
                 c["data_type"] == "datetime",
-                F.transform(c["found"], lambda v: F.try_to_timestamp(v)),
+                let(_day_first(c["found"]), lambda d: F.transform(c["found"], lambda v: moment(v, d))),
             ).alias("times"),
             _all(c["found"], POINT).alias("is_point"),
         ),

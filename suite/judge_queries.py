@@ -146,7 +146,7 @@ sizes AS (SELECT source AS "group", count(*) AS n FROM documents GROUP BY 1),
 drawn AS (
   SELECT "group", total, least(total, {take}) AS wanted,
     CAST('0x' || substring(md5('5|' || "group"), 1, 8) AS BIGINT) % total AS start_at,
-    CASE WHEN total % 1000003 <> 0 THEN 1000003 WHEN total % 1299709 <> 0 THEN 1299709 ELSE 15485863 END % total AS stride
+    list_filter(list_transform(range(0, 128), lambda d: CAST(floor(total * 0.6180339887498949) AS BIGINT) + d), lambda x: gcd(x, total) = 1)[1] AS stride
   FROM (SELECT *, n * (n - 1) // 2 AS total FROM sizes) WHERE total > 0
 ),
 numbers AS (SELECT *, unnest(range(0, wanted)) AS seq FROM drawn),
@@ -155,7 +155,7 @@ all_pairs AS (
   FROM (SELECT unnest(range(0, (SELECT max(n) FROM sizes))) AS j), LATERAL (SELECT unnest(range(0, j)) AS i)
 ),
 pairs AS (
-  SELECT "group", seq, wanted, p.i, p.j FROM numbers d JOIN all_pairs p ON p.number = (d.start_at + d.seq * d.stride) % d.total
+  SELECT "group", seq, wanted, p.i, p.j FROM numbers d JOIN all_pairs p ON p.number = CAST((CAST(d.start_at AS HUGEINT) + CAST(d.seq AS HUGEINT) * d.stride) % d.total AS BIGINT)
 )"""
 
 

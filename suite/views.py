@@ -20,7 +20,6 @@ from cataloom.session import scratch_path
 from cataloom.sources.stages import read_stage, write_stage
 
 SAMPLE_ROWS = 20
-SPARSE_ABOVE = 0.1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -544,14 +543,13 @@ def sparse_vectors(spark: SparkSession, folder: str) -> DataFrame:
         F.col("vec_id").alias("doc_ord"),
         "label",
         "embedding",
-        vec.to_sparse(F.col("embedding"), SPARSE_ABOVE).alias("sparse"),
+        vec.to_sparse(F.col("embedding")).alias("sparse"),
     ).select("*", "sparse.*")
 
 
 VECTORS_SQL = """
 vectors AS (
   SELECT vec_id, label, embedding,
-    list_transform(embedding, lambda x: CASE WHEN abs(CAST(x AS DOUBLE)) > 0.1 THEN CAST(x AS DOUBLE) ELSE 0.0 END)
-      AS sparse
+    CAST(embedding AS DOUBLE[]) AS sparse
   FROM embeddings
 )"""

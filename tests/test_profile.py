@@ -257,3 +257,26 @@ def test_comma_before_a_closing_brace_is_an_answer():
     from cataloom.operators.complete import _looks_like_json
 
     assert _looks_like_json('so {"a": 1,} ok') and _looks_like_json('{"a": {"b": 1, } ,}') and not _looks_like_json("{a}")
+
+
+def test_dates_as_portals_write_them(spark):
+    from datetime import datetime
+
+    columns = {
+        "us": (["01/31/2020", "2/1/2020 01:05:09 PM"], datetime(2020, 1, 31), datetime(2020, 2, 1, 13, 5, 9)),
+        "european": (["31.01.2020", "01.02.2020"], datetime(2020, 1, 31), datetime(2020, 2, 1)),
+        "ambiguous": (["03/04/2020", "03/05/2020 12:00 am"], datetime(2020, 3, 4), datetime(2020, 3, 5)),
+        "months": (["January 31, 2020", "1 Feb 2020"], datetime(2020, 1, 31), datetime(2020, 2, 1)),
+        "year": (["2020/01/31", "2019/12/31 23:59"], datetime(2019, 12, 31, 23, 59), datetime(2020, 1, 31)),
+        "iso": (["2020-01-31T10:00:00.000Z", "2020-02-01"], datetime(2020, 1, 31, 10), datetime(2020, 2, 1)),
+        "no day": (["02/30/2020", "01/31/2020"], None, None),
+        "both": (["13/01/2020", "01/13/2020"], None, None),
+        "words": (["room 2020 a", "x"], None, None),
+        "no month": (["31 Foo 2020", "1 Feb 2020"], None, None),
+        "no hour": (["01/31/2020 13:00 PM", "01/31/2020"], None, None),
+    }
+    rows = [(name, "c\n" + "\n".join(f'"{v}"' for v in values)) for name, (values, _, _) in columns.items()]
+    got = {r.dataset_id: r for r in structural.profile_rows(spark.createDataFrame(rows, "dataset_id string, sample_csv string")).collect()}
+    for name, (_, first, last) in columns.items():
+        r = got[name]
+        assert (r.data_type, r.first_time and r.first_time.replace(tzinfo=None), r.last_time and r.last_time.replace(tzinfo=None)) == ("datetime" if first else "text", first, last), name

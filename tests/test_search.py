@@ -142,6 +142,25 @@ def test_vector_search_is_exact_both_ways(spark, monkeypatch):
     assert ranked(vectors.vector_search(*frames, size=55)) == want
 
 
+def test_vectors_with_many_indices(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = [(i, i, sorted(draw.choice(10**9, 40, replace=False).tolist() + [7, i % 5]), draw.random(42).tolist()) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, doc_ord long, indices array<int>, values array<double>")
+    asked = docs.filter("doc_id < 20").selectExpr("doc_id as query_id", "indices", "values")
+
+    def cosine(a, b):
+        x, y = {}, {}
+        for out, (_, _, index, value) in ((x, a), (y, b)):
+            for i, v in zip(index, value, strict=True):
+                out[i] = out.get(i, 0) + v
+        return sum(v * y.get(i, 0) for i, v in x.items()) / np.sqrt(np.sum(np.square(a[3])) * np.sum(np.square(b[3])))
+
+    monkeypatch.setattr(vectors, "SCORES", 100)
+    monkeypatch.setattr(vectors, "PRODUCTS", 30)
+    want = {q: top([float(cosine(rows[q], d)) for d in rows], 10) for q in range(20)}
+    assert ranked(vectors.vector_search(asked, docs)) == want
+
+
 def test_zero_norm_is_zero(spark):
     df = spark.createDataFrame([(([], []), ([1], [2.0]))], "a struct<indices:array<int>,values:array<double>>, b struct<indices:array<int>,values:array<double>>")
     assert df.select(vectors.cosine_sparse(F.col("a"), F.col("b"))).first()[0] == 0.0
