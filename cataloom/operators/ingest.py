@@ -245,7 +245,8 @@ def tag_sample_status(metadata: DataFrame, samples: DataFrame) -> DataFrame:
     key = F.when(has_url, named).otherwise(
         F.concat(F.lit("\x00"), F.xxhash64("dataset_id", "title").cast("string"))
     )
-    joined = metadata.withColumn("_key", key).join(found, "_key", "left")
+    # Samples are texts, as many as datasets: they are merged, not sent to every task.
+    joined = metadata.withColumn("_key", key).join(found.hint("merge"), "_key", "left")
     ok = has_visible_text(F.col("_sample")) & F.col("_error").isNull()
     reason = F.when(~has_url, F.lit(MISSING_URL)).otherwise(
         F.coalesce(F.col("_error"), F.lit(EMPTY_SAMPLE))

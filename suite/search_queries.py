@@ -193,8 +193,9 @@ def _search_sql(kind: str, tokens: str) -> str:
     return "WITH " + views.DOCS_SQL + _index_sql(tokens) + kind + RANKED_SQL
 
 
-def _documents(spark, folder):
-    return retrieval.search_documents(views.search_docs(spark, folder))
+def _documents(spark, folder, labelled=False):
+    """Labels are joined only where relevances are asked for: the texts need not move for them."""
+    return retrieval.search_documents(views.search_docs(spark, folder, labelled))
 
 
 def _top(ranked):
@@ -275,9 +276,8 @@ FROM (SELECT query_id, sum((pow(2, rel) - 1) / log2(rank + 1)) AS dcg, sum((pow(
 
 
 def _lists(spark, folder):
-    documents = _documents(spark, folder)
-    ranked = retrieval.search(documents, views.search_queries(spark, folder), "BM25")
-    return retrieval.relevance_lists(ranked, documents)
+    ranked = retrieval.search(_documents(spark, folder), views.search_queries(spark, folder), "BM25")
+    return retrieval.relevance_lists(ranked, _documents(spark, folder, labelled=True))
 
 
 @query(
@@ -353,7 +353,7 @@ FROM lists JOIN ks ON rank <= k GROUP BY ALL""",
 )
 def ndcg_linear_at_ks(spark, folder):
     scores = ranking.ndcg_linear_at_ks(
-        _documents(spark, folder), views.search_queries(spark, folder), [1, 5, 10]
+        _documents(spark, folder, labelled=True), views.search_queries(spark, folder), [1, 5, 10]
     )
     return scores.withColumn("ndcg", F.round("ndcg", 6))
 

@@ -507,8 +507,8 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
 # --- documents and queries ----------------------------------------------------------------
 
 
-def search_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, doc_ord, title (first line), description, qrel (quality label)``."""
+def search_docs(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    """``doc_id, doc_ord, title (first line), description[, qrel (quality label)]``."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("qrel"))
     docs = table(spark, folder, "documents").select(
         "doc_id",
@@ -516,7 +516,7 @@ def search_docs(spark: SparkSession, folder: str) -> DataFrame:
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("description"),
     )
-    return docs.join(labels, "doc_id", "left")
+    return docs.join(labels, "doc_id", "left") if labelled else docs
 
 
 def search_queries(spark: SparkSession, folder: str) -> DataFrame:

@@ -276,3 +276,23 @@ def test_lists_are_filled_exactly_when_hits_score_below_zero(spark):
     assert found[1][0] == (60, 0.0) and [d for d, _ in found[1]] == [60, 0, 1]
     assert all(s < 0 for _, s in found[1][1:])
     assert [d for d, _ in found[2]] == [60, 0, 1] and [d for d, _ in found[3]] == [0, 1, 2]
+
+
+def test_a_stored_index_serves_many_searches_without_moving_scores(spark):
+    from cataloom.operators import retrieval
+
+    docs = spark.createDataFrame([(i, i, f"w{i % 7} w{i % 11} city", 0.0) for i in range(80)], "doc_id long, doc_ord long, text string, qrel double")
+    asked = spark.createDataFrame([(1, "w3 city"), (2, "w10 w4")], "query_id long, query_text string")
+    for similarity, mode in (("BM25", "words_and_marks"), ("TFIDF", "vectoriser")):
+        index = retrieval.store_index(docs, mode, buckets=4)
+        assert ranked(retrieval.search(index, asked, similarity)) == ranked(retrieval.search(docs, asked, similarity))
+    index = retrieval.store_index(docs, buckets=4)
+    scores = retrieval.bm25_scores(index, asked)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    tail = plan.split("HashAggregate(keys=[query_id")[1]
+    assert "Exchange" not in tail.split("\n")[0] and "hashpartitioning(query_id" not in plan
+
+    vectors_ = spark.createDataFrame([(1, 1, ([0, 2], [1.0, 1.0])), (2, 2, ([5], [1.0]))], "doc_id long, doc_ord long, v struct<indices:array<int>,values:array<double>>")
+    wanted = spark.createDataFrame([(1, ([0], [2.0]))], "query_id long, v struct<indices:array<int>,values:array<double>>")
+    found = retrieval.search(vectors_, wanted, "cosine", vector=retrieval.vector_field({"v": 1})).orderBy("rank").collect()
+    assert [(r["doc_id"], round(r["score"], 6)) for r in found] == [(1, 0.707107), (2, 0.0)]
