@@ -201,14 +201,14 @@ def normalize_dcat_entry(entries: DataFrame, column: str = "entry_json") -> Data
     )
 
 
-def union_sources(*catalogues: DataFrame) -> DataFrame:
-    """Rows of all catalogues, duplicates kept."""
+def union_sources(*catalogues: DataFrame, required: bool = False) -> DataFrame:
+    """Rows of all catalogues, duplicates kept; an error when rows are ``required`` and none has any."""
     if not catalogues:
         raise ValueError("no catalogue given")
     first, *rest = catalogues
     for other in rest:
         first = first.unionByName(other)
-    return first
+    return require_rows(first) if required else first
 
 
 def require_rows(df: DataFrame, message: str = "no metadata rows in any source") -> DataFrame:

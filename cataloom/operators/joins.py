@@ -15,15 +15,17 @@ def fits_broadcast(
 ) -> bool:
     """True when ``df`` is measured to be small.
 
-    One aggregate over ``df`` gives its rows and the bytes of its strings and arrays; a single
+    One aggregate over ``df`` gives its rows and the bytes of its strings and nested values; a single
     row comes back.  Use it only for frames that are cheap to compute (query terms, settings).
     """
     size = F.lit(16 * len(df.columns))
     for name, kind in df.dtypes:
         if kind == "string":
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
-        elif kind.startswith("array<"):
-            size = size + F.coalesce(F.size(name), F.lit(0)) * 16
+        elif kind == "binary":
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array<", "map<", "struct<")):
+            size = size + 2 * F.octet_length(F.to_json(F.struct(name)))
     seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 

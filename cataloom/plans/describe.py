@@ -12,6 +12,8 @@ ask for them twice.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -235,6 +237,14 @@ def _no_answers() -> Column:
     )
 
 
+# Fixed value: the key of a setting.
+VARIANT_KEY = "temperature-{heat}+num_words-{size}+use_semantic_profile-{use}+use_topic-{use}"
+
+
+def variant_name(heat: float, size: int, use: bool) -> str:
+    return VARIANT_KEY.format(heat=heat, size=size, use=use)
+
+
 def variant_grid(
     records: DataFrame,
     temperatures: list[float],
@@ -259,20 +269,13 @@ def variant_grid(
             F.lit(is_baseline).alias("is_baseline"),
         )
 
-    settings: dict[str, Column] = {}
-    for heat in temperatures:
-        for size in num_words:
-            settings["baseline"] = setting("baseline", heat, size, False, True)
-            for use in semantic_choices:
-                name = "+".join(
-                    [
-                        f"temperature-{heat}",
-                        f"num_words-{size}",
-                        f"use_semantic_profile-{use}",
-                        f"use_topic-{use}",
-                    ]
-                )
-                settings[name] = setting(name, heat, size, use, False)
+    pairs = list(product(temperatures, num_words))
+    settings = {
+        variant_name(heat, size, use): setting(variant_name(heat, size, use), heat, size, use, False)
+        for (heat, size), use in product(pairs, semantic_choices)
+    }
+    if pairs:
+        settings["baseline"] = setting("baseline", *pairs[-1], False, True)
     if not settings:
         raise ValueError("no setting given")
 
@@ -295,27 +298,20 @@ def variant_grid(
         topic,
         F.col("num_words"),
     )
-    answered = []
-    for heat in dict.fromkeys(float(t) for t in temperatures):
-        part = rows.filter(F.col("temperature") == heat)
-        answered.append(_described(part, _at(provider, heat), prompt, topic=topic))
-        if isinstance(provider, OfflineProvider):
-            answered = [_described(rows, provider, prompt, topic=topic)]
-            break
-    out = answered[0]
-    for more in answered[1:]:
-        out = out.unionByName(more)
+    if not hasattr(provider, "temperature"):  # its answers do not depend on it
+        out = _described(rows, provider, prompt, topic=topic)
+    else:
+        heats = list(dict.fromkeys(float(t) for t in temperatures))
+        parts = [
+            _described(rows.filter(F.col("temperature") == heat), replace(provider, temperature=heat), prompt, topic=topic)
+            for heat in heats
+        ]
+        out = reduce(DataFrame.unionByName, parts)
     return out.select(
         "dataset_id", "variant", "prompt", F.col("answer.content").alias("description")
     )
 
 
-def _at(provider: Provider, temperature: float) -> Provider:
-    if hasattr(provider, "temperature"):
-        return replace(provider, temperature=temperature)
-    return provider
-
-
 @dataclass
 class Describer:
     """Settings of a run in one object; every method takes and returns DataFrames."""

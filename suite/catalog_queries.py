@@ -267,7 +267,7 @@ def normalize_dcat_entry(spark, folder):
 )
 def union_sources(spark, folder):
     dcat = ingest.normalize_dcat_entry(views.dcat_entries(spark, folder))
-    return _short_raw(ingest.union_sources(_portal(spark, folder), dcat))
+    return _short_raw(ingest.union_sources(_portal(spark, folder), dcat, required=True))
 
 
 @query(

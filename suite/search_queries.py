@@ -358,8 +358,9 @@ def ndcg_linear_at_ks(spark, folder):
     return scores.withColumn("ndcg", F.round("ndcg", 6))
 
 
-# Keyword queries in words of the corpus.
+# The eight fixed queries, and keyword queries in words of the corpus.
 KEYWORDS = {
+    **ranking.KEYWORD_QUERIES,
     "english function words": ["the", "and", "with"],
     "german articles": ["der", "die", "das"],
     "french articles": ["les", "une", "dans"],

@@ -274,3 +274,11 @@ def test_a_shared_address_does_not_multiply_rows(spark):
     assert sorted((r.dataset_id, r.sample_csv, r.sample_fetch_status) for r in rows) == [("a", "x", "success"), ("b", "x", "success")]
     own = spark.createDataFrame([("s", "a", "x"), ("s", "b", "y"), ("s", "b", "y")], "source string, dataset_id string, sample_csv string")
     assert sorted(r.sample_csv for r in ingest.tag_sample_status(meta, own).collect()) == ["x", "y"]
+
+
+def test_a_union_without_rows_is_an_error(spark):
+    empty = spark.createDataFrame([], "a string")
+    assert ingest.union_sources(empty, empty).count() == 0
+    with pytest.raises(ValueError):
+        ingest.union_sources(empty, empty, required=True)
+    assert ingest.union_sources(empty, spark.createDataFrame([("x",)], "a string"), required=True).count() == 1
