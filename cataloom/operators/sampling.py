@@ -90,8 +90,12 @@ def sampled_positions(n_rows: Column, key: Column, k: int, seed: int = SEED) ->
 
 
 def column_sample_values(df: DataFrame, k: int = 5, column: str = "sample_csv") -> DataFrame:
-    """Add ``column_values``: per column its name and the values of the same ``k`` rows."""
-    picked = with_table(df, column).withColumn(
+    """Add ``column_values``: per column its name and the values of the same ``k`` rows.
+
+    A sample that is parsed already (``columns, n_rows``) is not parsed again.
+    """
+    parsed = df if {"columns", "n_rows"} <= set(df.columns) else with_table(df, column)
+    picked = parsed.withColumn(
         "_at", sampled_positions(F.col("n_rows"), F.col("dataset_id"), k)
     )
     values = let(

@@ -114,6 +114,7 @@ def describe_catalog(
     max_lines: int = 20,
     num_words: int = 100,
     group_size: int = 0,
+    per_column: bool = False,
 ) -> DataFrame:
     """The full run: shorten, parse, profile, semantics, topic, description, search text.
 
@@ -125,26 +126,10 @@ def describe_catalog(
     profiled = structural.render_profiles(shrunk, "shrunk_csv")
     usable = F.col("shrunk_csv").isNotNull() & F.col("csv_error").isNull()
 
-    # Semantics: all columns of a dataset in one prompt, or in groups.
-    with_semantics = _with_semantics(profiled, provider, group_size, usable)
+    # Semantics: all columns of a dataset in one prompt, in groups, or one by one.
+    with_semantics = _with_semantics(profiled, provider, group_size, usable, per_column)
 
-    topic_asked = F.when(
-        usable,
-        prompts.topic_prompt(
-            F.col("title"), F.col("original_description"), F.col("shrunk_csv")
-        ),
-    )
-    with_topic = (
-        complete(
-            with_semantics,
-            "topic",
-            topic_asked,
-            provider,
-            {"title": F.col("title"), "profile": F.col("profile")},
-        )
-        .withColumn("topic", strip(F.col("answer.content")))
-        .drop("answer")
-    )
+    with_topic = _with_topic(with_semantics, provider, F.when(usable, F.col("shrunk_csv")))
     described = _described(
         with_topic,
         provider,
@@ -172,49 +157,62 @@ def describe_catalog(
         )
         .drop("answer")
     )
-    searched = complete(
-        finished,
-        "search",
-        F.when(
-            F.col("topic") != "",
-            prompts.search_prompt(F.col("generated_description"), F.col("topic")),
-        ),
-        provider,
-        {"description": F.col("generated_description"), "topic": F.col("topic")},
-    ).withColumn("search_description", F.col("answer.content"))
-    return align_schema(searched, schemas.DESCRIPTIONS_FULL)
+    return align_schema(_with_search_text(finished, provider), schemas.DESCRIPTIONS_FULL)
+
+
+def _with_topic(df: DataFrame, provider: Provider, sample: Column) -> DataFrame:
+    """Add ``topic``; records without a sample are not asked."""
+    asked = F.when(sample.isNotNull(), prompts.topic_prompt(F.col("title"), F.col("original_description"), sample))
+    context = {"title": F.col("title"), "profile": F.col("profile")}
+    answered = complete(df, "topic", asked, provider, context)
+    return answered.withColumn("topic", strip(F.col("answer.content"))).drop("answer")
+
+
+def _with_search_text(df: DataFrame, provider: Provider) -> DataFrame:
+    """Add ``search_description``; records without a topic are not asked."""
+    asked = F.when(F.col("topic") != "", prompts.search_prompt(F.col("generated_description"), F.col("topic")))
+    context = {"description": F.col("generated_description"), "topic": F.col("topic")}
+    answered = complete(df, "search", asked, provider, context)
+    return answered.withColumn("search_description", F.col("answer.content")).drop("answer")
 
 
 def _with_semantics(
-    df: DataFrame, provider: Provider, group_size: int, usable: Column
+    df: DataFrame, provider: Provider, group_size: int, usable: Column, per_column: bool = False
 ) -> DataFrame:
-    """Add ``semantic_profile``, asked with one prompt per group of columns (0: one for all).
+    """Add ``semantic_profile``, asked with one prompt per group of columns (0: one for all) or per
+    column.
 
     The prompts of a record stay in its row as an array, so the answers need no way back.
     """
-    asked = sampling.column_sample_values(
-        df.drop("columns", "n_rows", "csv_error"), 5, "shrunk_csv"
-    ).withColumn("_groups", F.when(usable, semantics.chunks(F.col("column_values"), group_size)))
-    answered = asked.withColumn(
-        "_answers",
-        provider.columns(
-            "group_semantics",
-            F.transform("_groups", prompts.group_prompt),
-            {"profile": F.col("profile")},
-        ),
-    )
-    found = F.flatten(
-        F.zip_with(
+    asked = sampling.column_sample_values(df, 5, "shrunk_csv")
+    context = {"profile": F.col("profile")}
+    if per_column:
+        questions = F.transform("column_values", lambda c: prompts.column_prompt(c["col_name"], c["sample_values"]))
+        asked = asked.withColumn("_groups", F.when(usable, F.col("column_values")))
+        answered = asked.withColumn("_answers", provider.columns("column_semantics", F.when(usable, questions), context))
+        told = F.zip_with(
             "_answers",
             "_groups",
-            lambda a, g: F.coalesce(
-                semantics.parse_group_semantics(
-                    a["content"], F.transform(g, lambda c: c["col_name"])
+            lambda a, c: F.struct(c["col_name"].alias("col_name"), semantics.parse_semantics(a["content"]).alias("semantics")),
+        )
+        found = F.filter(told, lambda t: t["semantics"].isNotNull())
+    else:
+        asked = asked.withColumn("_groups", F.when(usable, semantics.chunks(F.col("column_values"), group_size)))
+        answered = asked.withColumn(
+            "_answers", provider.columns("group_semantics", F.transform("_groups", prompts.group_prompt), context)
+        )
+        found = F.flatten(
+            F.zip_with(
+                "_answers",
+                "_groups",
+                lambda a, g: F.coalesce(
+                    semantics.parse_group_semantics(
+                        a["content"], F.transform(g, lambda c: c["col_name"])
+                    ),
+                    _no_answers(),
                 ),
-                _no_answers(),
-            ),
+            )
         )
-    )
     text = F.when(
         F.exists("_answers", lambda a: a["status"] == "success"),
         semantics.dataset_semantic_text(F.coalesce(found, _no_answers())),
@@ -330,6 +328,41 @@ class Describer:
             records, self.provider, self.max_chars, self.max_lines, self.num_words, group_size
         )
 
+    def _shrunk(self, records: DataFrame) -> DataFrame:
+        shrunk = sampling.shrink_samples(records, self.max_chars, self.max_lines)
+        return structural.render_profiles(shrunk, "shrunk_csv")
+
+    def analyze_semantics(self, records: DataFrame, group_size: int = 0, per_column: bool = True) -> DataFrame:
+        """Records with ``semantic_profile``."""
+        usable = F.col("shrunk_csv").isNotNull() & F.col("csv_error").isNull()
+        return _with_semantics(self._shrunk(records), self.provider, group_size, usable, per_column).select(
+            *records.columns, "semantic_profile"
+        )
+
+    def generate_topic(self, records: DataFrame) -> DataFrame:
+        """Records ``(title, original_description, sample_csv)`` with ``topic``."""
+        return _with_topic(self._shrunk(records), self.provider, F.col("shrunk_csv")).select(*records.columns, "topic")
+
+    def describe_dataset(self, records: DataFrame) -> DataFrame:
+        """Records with ``generated_description``; ``dataset_profile``, ``semantic_profile`` and
+        ``topic`` are used where the records have them."""
+
+        def given(column: str) -> Column:
+            return F.col(column) if column in records.columns else F.lit(None).cast("string")
+
+        shrunk = sampling.shrink_samples(records, self.max_chars, self.max_lines)
+        profiled = structural.sample_profiles(shrunk, "shrunk_csv")
+        prompt = prompts.description_prompt(
+            F.col("shrunk_csv"), given("dataset_profile"), given("semantic_profile"), given("topic"), self.num_words
+        )
+        asked = F.when(F.col("shrunk_csv").isNotNull(), prompt)
+        answered = _described(profiled, self.provider, asked, topic=given("topic"))
+        return answered.select(*records.columns, F.col("answer.content").alias("generated_description"))
+
+    def expand_description_for_search(self, df: DataFrame) -> DataFrame:
+        """Rows ``(generated_description, topic)`` with ``search_description``."""
+        return _with_search_text(df, self.provider)
+
     def set_evaluator(self, evaluator: Provider) -> None:
         self.evaluator = evaluator
 

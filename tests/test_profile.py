@@ -280,3 +280,29 @@ def test_dates_as_portals_write_them(spark):
     for name, (_, first, last) in columns.items():
         r = got[name]
         assert (r.data_type, r.first_time and r.first_time.replace(tzinfo=None), r.last_time and r.last_time.replace(tzinfo=None)) == ("datetime" if first else "text", first, last), name
+
+
+class ColumnClient:
+    """Answers each kind of question with what it was asked about."""
+
+    def chat_completions_create(self, model, messages, temperature=0.0, **kwargs):
+        content = '{"Entity Type": "Thing",}' if "Entity Type" in messages[-1]["content"] else f"{len(messages)} parts"
+        return {"choices": [{"message": {"content": content}}]}
+
+
+def test_facade_steps_one_by_one(spark):
+    provider = complete.ClientProvider(ColumnClient, "m", describe.SYSTEM_MESSAGES)
+    facade = describe.Describer(provider)
+    rows = records(spark, ("a", "t", "s", CITY, None), ("b", "t", "s", None, None))
+    told = {r.dataset_id: r.semantic_profile for r in facade.analyze_semantics(rows).collect()}
+    assert "Represents thing" in told["a"] and told["b"] is None
+    topics = {r.dataset_id: r.topic for r in facade.generate_topic(rows).collect()}
+    assert topics == {"a": "2 parts", "b": None}
+    texts = {r.dataset_id: r.generated_description for r in facade.describe_dataset(rows.withColumn("topic", F.lit("x"))).collect()}
+    assert texts == {"a": "2 parts", "b": None}
+    search = facade.expand_description_for_search(
+        spark.createDataFrame([("d", "x"), ("d", None)], "generated_description string, topic string")
+    )
+    assert sorted(str(r.search_description) for r in search.collect()) == ["2 parts", "None"]
+    full = describe.describe_catalog(rows.filter("dataset_id = 'a'"), provider, per_column=True).first()
+    assert "Represents thing" in full.semantic_profile and full.generation_status == "success"
