@@ -2,12 +2,16 @@
 
 A text is cut by the pattern of the vocabulary.  Each distinct word of some texts that is no token by
 itself goes through a recursive query: its token positions are rows that join the merge table, and
-the leftmost pair of the least rank is contracted until no pair of the word is in the table.  Decoding
+the leftmost pair of the least rank is contracted until no pair of the word is in the table.  A word
+of more than ``LONG_WORD`` bytes contracts, from the left, all pairs of the least rank in one step,
+up to the first whose token makes a pair of a lower rank with a neighbour: the same contractions in the
+same order, but steps for each rank and not for each pair, and only the last step is held.  Decoding
 joins the ids with the vocabulary and aggregates the bytes in the order of the positions.
 
 The vocabulary file is read once on the driver and broadcast: its size does not depend on the data.
-Texts are handled in slices of some million characters and words in slices of some thousand, so the
-memory of a task is bounded by these and by its longest text.
+Texts are handled in slices of some million characters and words in slices of bounded cost, so the
+memory of a task is bounded by these and by its longest text; a database may take ``MEMORY`` and
+``WORD_MEMORY`` for each byte of the longest unbroken word.
 
 Null texts are empty texts and have no ids.  Each row is handled by itself: repeated rows and ids
 stay, null ids are kept, an empty table gives an empty table, further columns are ignored.
@@ -29,10 +33,16 @@ from pyspark.sql import functions as F
 from .common import small_batches, whole
 
 SLICE_CHARS = 2_000_000
-SLICE_WORDS = 20_000
+# All steps of a slice's recursion are held, so a word costs its length squared.
+SLICE_COST = 8_000_000
+LEAST_COST = 400
+LONG_WORD = 512
 KNOWN_WORDS = 400_000
+KNOWN_TOKENS = 4_000_000
 PIECE_TOKENS = 200_000
-MEMORY = "200MB"
+# Megabytes, and bytes for each byte of a long word.
+MEMORY = 200
+WORD_MEMORY = 800
 
 # ``least`` is rank and place of the pair that was contracted last; null ends a word.
 CONTRACT = """
@@ -55,6 +65,43 @@ CONTRACT = """
     SELECT word, ids FROM step WHERE least IS NULL ORDER BY word
 """
 
+# ``taken`` are the pairs of the least rank that do not overlap, from the left: in a run of such pairs
+# every second one.  ``risky`` is one whose token has a pair of a lower rank with the token before or
+# behind it; what stands right of it waits for the next step.
+CONTRACT_LONG = """
+    WITH RECURSIVE step(word, ids) USING KEY (word) AS (
+        SELECT word, ids FROM words
+        UNION
+        SELECT word, list(CASE WHEN joined THEN least ELSE id END ORDER BY place)
+        FROM (
+            SELECT word, place, id, least, joined, lag(joined, 1, false) OVER (PARTITION BY word ORDER BY place) AS gone
+            FROM (
+                SELECT word, place, id, least,
+                       taken AND place <= min(CASE WHEN taken AND risky THEN place ELSE 4294967296 END) OVER (PARTITION BY word) AS joined
+                FROM (
+                    SELECT pair.*, one.rank < least OR two.rank < least AS risky
+                    FROM (
+                        SELECT word, place, id, least, taken, lead(id, 2) OVER places AS behind,
+                               CASE WHEN lag(taken, 2, false) OVER places THEN least ELSE lag(id) OVER places END AS before
+                        FROM (
+                            SELECT *, rank IS NOT DISTINCT FROM least AND (place - coalesce(max(CASE WHEN rank IS DISTINCT FROM least THEN place END) OVER (PARTITION BY word ORDER BY place), 0)) % 2 = 1 AS taken
+                            FROM (
+                                SELECT token.word, place, id, merges.rank, min(merges.rank) OVER (PARTITION BY token.word) AS least
+                                FROM (SELECT word, unnest(ids) AS id, unnest(ids[2:]) AS next, generate_subscripts(ids, 1) AS place FROM step) token
+                                LEFT JOIN merges ON merges.pair = token.id * 4294967296 + token.next
+                            ) WHERE least IS NOT NULL
+                        ) WINDOW places AS (PARTITION BY word ORDER BY place)
+                    ) pair
+                    LEFT JOIN merges one ON taken AND one.pair = before * 4294967296 + least
+                    LEFT JOIN merges two ON taken AND two.pair = least * 4294967296 + behind
+                )
+            )
+        ) WHERE NOT gone
+        GROUP BY word
+    )
+    SELECT word, ids FROM step ORDER BY word
+"""
+
 DECODE = """
     SELECT piece, unhex(coalesce(string_agg(vocabulary.digits, '' ORDER BY token.place), '')) AS bytes
     FROM (SELECT piece, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM pieces) token
@@ -75,7 +122,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.cut = regex.compile(pattern).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{MEMORY}MB", "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
         tokens = pa.table({"bytes": pa.array(ranks, pa.binary()), "id": pa.array(ranks.values(), pa.int64())})
         self.db.register("given", tokens)
@@ -98,32 +145,42 @@ class Codec:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
 
+    def contracted(self, query: str, raw: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word, by a recursive query."""
+        offsets = pa.array(np.r_[0, np.cumsum([len(r) for r in raw])].astype(np.int32))
+        ids = self.bytes[np.frombuffer(b"".join(raw), np.uint8)]
+        self.db.register("words", pa.table({"word": pa.array(range(len(raw)), pa.int64()), "ids": pa.ListArray.from_arrays(offsets, pa.array(ids))}))
+        out = self.db.sql(query).to_arrow_table().combine_chunks()
+        self.db.unregister("words")
+        lists = out.column("ids").chunk(0)
+        return np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1])
+
+    def contracted_long(self, raw: bytes) -> np.ndarray:
+        """The ids of one long word."""
+        self.db.execute(f"SET memory_limit = '{MEMORY + len(raw) * WORD_MEMORY // 1_000_000}MB'")
+        ids = self.contracted(CONTRACT_LONG, [raw])[0]
+        self.db.execute(f"SET memory_limit = '{MEMORY}MB'")
+        return ids
+
     def learn(self, words: list[str]) -> None:
         """Find the ids of words that were not met so far."""
-        for begin in range(0, len(words), SLICE_WORDS):
-            part = words[begin : begin + SLICE_WORDS]
-            raw = [w.encode("utf-8", "surrogatepass") for w in part]
-            found = [np.array([self.ranks[r]]) if r in self.ranks else None for r in raw]
+        whole_words = [w.encode("utf-8", "surrogatepass") for w in words]
+        costs = np.cumsum([max(LEAST_COST, min(len(r), LONG_WORD) ** 2) for r in whole_words])
+        for places in np.split(np.arange(len(words)), np.flatnonzero(np.diff(costs // SLICE_COST)) + 1):
+            raw = [whole_words[i] for i in places.tolist()]
+            found = [np.array([self.ranks[r]]) if r in self.ranks else self.contracted_long(r) if len(r) > LONG_WORD else None for r in raw]
             open_ = [i for i, ids in enumerate(found) if ids is None]
-            sizes = np.array([len(raw[i]) for i in open_], np.int64)
-            ids = self.bytes[np.frombuffer(b"".join(raw[i] for i in open_), np.uint8)]
-            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-            self.db.register("words", pa.table({"word": pa.array(open_, pa.int64()), "ids": pa.ListArray.from_arrays(offsets, pa.array(ids))}))
-            out = self.db.sql(CONTRACT).to_arrow_table().combine_chunks()
-            self.db.unregister("words")
-            if len(open_):
-                lists = out.column("ids").chunk(0)
-                ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-                for k, i in enumerate(out.column("word").to_pylist()):
-                    found[i] = values[ends[k] : ends[k + 1]]
-            self.words.update(zip(part, range(len(self.shown), len(self.shown) + len(part)), strict=True))
-            self.begin = np.r_[self.begin, self.begin[-1] + np.cumsum([len(x) for x in found])]
+            if open_:
+                for i, ids in zip(open_, self.contracted(CONTRACT, [raw[i] for i in open_]), strict=True):
+                    found[i] = ids
+            self.words.update((words[i], len(self.shown) + k) for k, i in enumerate(places.tolist()))
+            self.begin = np.r_[self.begin, self.begin[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)]
             self.flat = np.concatenate([self.flat, *found]).astype(np.int32)
             self.shown += [",".join(map(str, x.tolist())) for x in found]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The places of each text's words."""
-        if len(self.words) > KNOWN_WORDS:
+        if len(self.words) > KNOWN_WORDS or len(self.flat) > KNOWN_TOKENS:
             self.forget()
         cut = [self.cut(t) for t in texts]
         new: dict[str, None] = {}
