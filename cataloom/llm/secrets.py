@@ -60,7 +60,7 @@ def base_spans(text: Column) -> Column:
 def weak_spans(text: Column, base: Column) -> Column:
     """Spans of weak candidates outside the strong findings."""
     weak = F.concat(S.located(text, IDENTIFIER, IDENT), S.located(text, MIXED, WEAK, _is_mixed), S.located(text, LOCATION, ENDPOINT))
-    return F.filter(weak, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    return S.let(base, lambda b: S.apart(weak, b))
 
 
 def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 SPAN = "struct<start:int,kind:int,end:int,found:string>"
 BLOCK = 256
+PIECE = 1024
+NEVER = 2**31 - 1
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,6 +26,44 @@ def none() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
+def pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` characters, from which ``cut`` takes parts without reading all of it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text in pieces."""
+    first = F.floor(start / PIECE).cast("int")
+    count = F.floor(end / PIECE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(parts, first + 1, count), ""), start - first * PIECE + 1, end - start)
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The ``spans`` that overlap none of ``others``, sorted.  It costs two sorts of both."""
+
+    def marked(items: Column, mark: int) -> Column:
+        return F.transform(items, lambda s: F.struct(s["start"].alias("start"), F.lit(mark).alias("mark"), s.alias("span")))
+
+    def swept(items: Column, other: int, begin: int, move: Callable[[Column, Column], Column], free: Callable[[Column, Column], Column]) -> Column:
+        def step(state: Column, item: Column) -> Column:
+            is_other = item["mark"] == other
+            out = F.when(~is_other & free(state["at"], item["span"]), F.concat(state["out"], F.array(item["span"]))).otherwise(state["out"])
+            return F.struct(F.when(is_other, move(state["at"], item["span"])).otherwise(state["at"]).alias("at"), out.alias("out"))
+
+        def block(state: Column, part: Column) -> Column:
+            inner = F.aggregate(part, F.struct(state["at"].alias("at"), none().alias("out")), step)
+            return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(state["out"], i["out"]).alias("out")))
+
+        start = F.struct(F.lit(begin).alias("at"), none().alias("out"))
+        return let(items, lambda a: F.when(F.size(a) > 0, F.aggregate(_in_blocks(a), start, block, lambda s: s["out"])).otherwise(none()))
+
+    # Forwards against those that begin before a span or with it, backwards against those that begin in it.
+    ahead = F.array_sort(F.concat(marked(others, 0), marked(spans, 1)))
+    clear = swept(ahead, 0, 0, lambda at, s: F.greatest(at, s["end"]), lambda at, s: s["start"] >= at)
+    back = F.reverse(F.array_sort(F.concat(marked(clear, 0), marked(others, 1))))
+    return F.reverse(swept(back, 1, NEVER, lambda at, s: s["start"], lambda at, s: s["end"] <= at))
+
+
 def _in_blocks(items: Column) -> Column:
     return F.transform(
         F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
@@ -78,9 +118,27 @@ def replaced(text: Column, spans: Column, tag: Callable[[Column], Column]) -> Co
 
     A span that begins inside an earlier one adds its end to it.
     """
+    made = let(F.struct(pieces(text).alias("p"), spans.alias("s")), lambda x: _joined(x["p"], F.length(text), x["s"], tag))
+    return F.when(F.size(spans) > 0, made).otherwise(text)
+
+
+def covered(text: Column, spans: Column, cover: str) -> Column:
+    """The text with each character of the sorted spans replaced by ``cover``."""
+
+    def covers(begin: Column, end: Column) -> Column:
+        return F.repeat(F.lit(cover), F.greatest(end - begin, F.lit(0)))
+
+    made = let(
+        F.struct(pieces(text).alias("p"), spans.alias("s")),
+        lambda x: _joined(x["p"], F.length(text), x["s"], lambda s: covers(s["start"], s["end"]), lambda at, s: covers(at, s["end"])),
+    )
+    return F.when(F.size(spans) > 0, made).otherwise(text)
+
+
+def _joined(parts: Column, length: Column, spans: Column, tag: Callable[[Column], Column], inside: Callable[[Column, Column], Column] = lambda at, s: F.lit("")) -> Column:
     def step(state: Column, span: Column) -> Column:
         new = span["start"] >= state["at"]
-        gap = F.when(new, F.concat(F.substring(text, state["at"] + 1, span["start"] - state["at"]), tag(span))).otherwise(F.lit(""))
+        gap = F.when(new, F.concat(cut(parts, state["at"], span["start"]), tag(span))).otherwise(inside(state["at"], span))
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], F.array(gap)).alias("out"))
 
     def block(state: Column, part: Column) -> Column:
@@ -88,7 +146,7 @@ def replaced(text: Column, spans: Column, tag: Callable[[Column], Column]) -> Co
         return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(state["out"], F.array(F.array_join(i["out"], ""))).alias("out")))
 
     def rest(state: Column) -> Column:
-        return F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+        return F.concat(F.array_join(state["out"], ""), cut(parts, state["at"], length))
 
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.when(F.size(spans) > 0, F.aggregate(_in_blocks(spans), begin, block, rest)).otherwise(text)
+    return F.aggregate(_in_blocks(spans), begin, block, rest)

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cataloom.llm import pii, queries, secrets
+from cataloom.llm import pii, queries, secrets, spans
 
 from .conftest import ODD
 
@@ -85,6 +85,33 @@ def test_odd_rows(odd, empty, module):
         run(odd.withColumn("spans", F.lit(1)))
 
 
+def test_overlaps_and_parts_are_those_of_all_pairs(spark):
+    pick = random.Random(11)
+
+    def drawn(kinds):
+        return sorted((a := pick.randrange(300), pick.choice(kinds), a + pick.randrange(1, 30), "x") for _ in range(pick.randrange(0, 700)))
+
+    rows = [(i, drawn([3, 4, 5]), drawn([0, 1, 2])[: i * 3], "é😀\nab" * 500) for i in range(12)]
+    made = spark.createDataFrame(rows, f"id int, weak array<{spans.SPAN}>, base array<{spans.SPAN}>, text string")
+    cuts = F.transform("weak", lambda s: spans.cut(spans.pieces(F.col("text")), s["start"] * 8, s["end"] * 8))
+    got = made.select("id", spans.apart(F.col("weak"), F.col("base")).alias("kept"), spans.covered(F.col("text"), F.col("base"), "#").alias("covered"), cuts.alias("cuts")).collect()
+    for r in got:
+        _, weak, base, text = rows[r["id"]]
+        assert [tuple(s) for s in r["kept"]] == [w for w in weak if not any(b[0] < w[2] and w[0] < b[2] for b in base)]
+        hidden = {i for b in base for i in range(b[0], b[2])}
+        assert r["covered"] == "".join("#" if i in hidden else c for i, c in enumerate(text))
+        assert r["cuts"] == [text[w[0] * 8 : w[2] * 8] for w in weak]
+
+
+@pytest.mark.parametrize("module", [pii, secrets])
+def test_thousands_of_spans_with_neighbours(spark, module):
+    n = 3000
+    text = "".join(f"user=bob{i} token=abcdefghijkl{i} at u{i}@ex.com Zz9Yy8Xx7Ww6Vv5Uu4Tt3{i} " for i in range(n))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = (module.protected if module is pii else module.scanned)(rows).select(F.size("base_spans").alias("base"), F.size("added_spans").alias("added")).first()
+    assert tuple(found) == ((n, 0) if module is pii else (n, 2 * n))
+
+
 def disclosure(texts, entity, term, support=3):
     """PMI / IC by counting, for an e-mail entity."""
     from math import log2
