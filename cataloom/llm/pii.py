@@ -36,6 +36,9 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[ -]?[0-9]){11,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 TERM = r"[\p{L}\p{N}]{3,}+"
+# Covers protected values while terms are searched; a noncharacter.  Terms that touch it do not count.
+COVER = "\uffff"
+FREE_TERM = rf"(?<![\p{{L}}\p{{N}}{COVER}]){TERM}(?!{COVER})"
 
 REACH = 100
 SUPPORT = 3
@@ -78,15 +81,16 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"].cast("string"), F.when(span["kind"] >= 2, _digits(span["found"])).otherwise(F.lower(span["found"])))
 
 
-def _terms_beside(text: Column, length: Column, spans: Column, span: Column, reach: int) -> Column:
-    """Spans of the terms within ``reach`` of a span; cut words and words that touch or overlap a span are left out."""
-    begin = F.greatest(span["start"] - reach, F.lit(0))
-    before = S.located(F.substring(text, begin + 1, span["start"] - begin), TERM, 0)
-    after = S.located(F.substring(text, span["end"] + 1, F.lit(reach)), TERM, 0)
-    moved = F.concat(_moved(before, begin), _moved(after, span["end"]))
-    end = F.least(span["end"] + reach, length)
-    uncut = F.filter(moved, lambda t: ((t["start"] > begin) | (begin == 0)) & ((t["end"] < end) | (end == length)))
-    return F.filter(uncut, lambda t: ~F.exists(spans, lambda s: (s["start"] <= t["end"]) & (t["start"] <= s["end"])))
+def _terms_beside(covered: Column, length: Column, span: Column, reach: int) -> Column:
+    """Spans of the terms within ``reach`` of a span; cut words and words that touch or overlap a span are left out.
+
+    ``covered`` are the pieces of the text with all spans covered.
+    """
+    begin, end = F.greatest(span["start"] - reach, F.lit(0)), F.least(span["end"] + reach, length)
+    before = S.located(S.cut(covered, begin, span["start"] + 1), FREE_TERM, 0)
+    after = S.located(S.cut(covered, span["end"] - 1, end), FREE_TERM, 0)
+    moved = F.concat(_moved(before, begin), _moved(after, span["end"] - 1))
+    return F.filter(moved, lambda t: ((t["start"] > begin) | (begin == 0)) & ((t["end"] < end) | (end == length)))
 
 
 def _moved(spans: Column, by: Column) -> Column:
@@ -98,10 +102,10 @@ def _moved(spans: Column, by: Column) -> Column:
 
 def _contexts(found: DataFrame, reach: int) -> DataFrame:
     """(key, entity, start, kind, end, found): each term beside each entity, of the rows with entities."""
-    length = F.length("text_")
-    around = F.transform(
-        "base_spans",
-        lambda s: F.struct(_entity(s).alias("entity"), _terms_beside(F.col("text_"), length, F.col("base_spans"), s, reach).alias("terms")),
+    covered = S.pieces(S.covered(F.col("text_"), F.col("base_spans"), COVER))
+    around = S.let(
+        F.struct(covered.alias("covered"), F.length("text_").alias("length")),
+        lambda x: F.transform("base_spans", lambda s: F.struct(_entity(s).alias("entity"), _terms_beside(x["covered"], x["length"], s, reach).alias("terms"))),
     )
     return found.filter(F.size("base_spans") > 0).select(text_key(F.col("text_")).alias("key"), around.alias("around"))
 
@@ -158,8 +162,8 @@ def protected(
 
 
 def _strongest(spans: Column) -> Column:
-    """One span for each place: a term that is to be removed for one entity is not generalised for another."""
-    return F.filter(spans, lambda s: (s["kind"] == REMOVE) | ~F.exists(spans, lambda o: (o["kind"] == REMOVE) & (o["start"] == s["start"])))
+    """One of the sorted spans for each place: a term that is to be removed for one entity is not generalised for another."""
+    return S.let(spans, lambda a: F.filter(a, lambda s, i: F.coalesce(F.get(a, i + 1)["start"] != s["start"], F.lit(True))))
 
 
 def sanitised(docs: DataFrame, text: str = "text", **how) -> DataFrame:
