@@ -2,17 +2,19 @@
 
 Protected entities are the matched values (an address, a card number).  How strongly a term reveals
 an entity is estimated from the corpus: with N rows, df(e) and df(t) rows that hold the entity and the
-term, and df(e, t) rows in which the term stands within ``reach`` characters of the entity,
+term, and df(e, t) rows that hold both, wherever they stand,
 
     PMI(e, t) = log2(N * df(e, t) / (df(e) * df(t)))      IC(e) = log2(N / df(e))
 
-and the term discloses the share PMI / IC of the entity's information.  Terms seen with an entity in
-at least ``support`` rows are removed from around it when the share reaches ``remove`` and generalised
-when it reaches ``generalise``.  Only rows that hold the entity are changed, so rows without personal
-data stay as they are.
+and the term discloses the share PMI / IC of the entity's information.  Terms that stand with an entity
+in at least ``support`` rows are removed, wherever they stand in a row that holds it, when the share
+reaches ``remove`` and generalised when it reaches ``generalise``.  Only rows that hold the entity are
+changed, so rows without personal data stay as they are.
 
-All of it is DataFrame functions.  The work around entities is linear in their number; a frequent
-term or entity is counted in every task before it moves.  Null texts are empty texts and have no spans;
+All of it is DataFrame functions.  Equal texts are counted once, with their number.  Entities that stand
+in the same texts are judged as one, so a list of addresses is not paired with all its terms.
+df(e, t) is at most df(e), so a pair can reach the share s only if df(t) <= df(e)**s * N**(1 - s); the
+other pairs are not made.  A frequent term or entity is counted in every task before it moves.  Null texts are empty texts and have no spans;
 rows of equal texts get equal spans, whatever their ids are; repeated rows stay; empty tables give
 empty tables; further columns pass through ``protected`` untouched, but a column that has the name of
 an added one is an error.
@@ -40,7 +42,6 @@ TERM = r"[\p{L}\p{N}]{3,}+"
 COVER = "\uffff"
 FREE_TERM = rf"(?<![\p{{L}}\p{{N}}{COVER}]){TERM}(?!{COVER})"
 
-REACH = 100
 SUPPORT = 3
 GENERALISE_SHARE = 0.75
 REMOVE_SHARE = 0.95
@@ -81,48 +82,75 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"].cast("string"), F.when(span["kind"] >= 2, _digits(span["found"])).otherwise(F.lower(span["found"])))
 
 
-def _terms_beside(covered: Column, length: Column, span: Column, reach: int) -> Column:
-    """Spans of the terms within ``reach`` of a span; cut words and words that touch or overlap a span are left out.
-
-    ``covered`` are the pieces of the text with all spans covered.
-    """
-    begin, end = F.greatest(span["start"] - reach, F.lit(0)), F.least(span["end"] + reach, length)
-    before = S.located(S.cut(covered, begin, span["start"] + 1), FREE_TERM, 0)
-    after = S.located(S.cut(covered, span["end"] - 1, end), FREE_TERM, 0)
-    moved = F.concat(_moved(before, begin), _moved(after, span["end"] - 1))
-    return F.filter(moved, lambda t: ((t["start"] > begin) | (begin == 0)) & ((t["end"] < end) | (end == length)))
+def _covered(text: Column, base: Column) -> Column:
+    return S.covered(text, base, COVER)
 
 
-def _moved(spans: Column, by: Column) -> Column:
-    return F.transform(
-        spans,
-        lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"), F.lower(s["found"]).alias("found")),
-    )
+def _terms(text: Column, pattern: str) -> Column:
+    """The distinct terms of a text in lower case."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.array_distinct(F.transform(found, lambda t: F.lower(t)))
 
 
-def _contexts(found: DataFrame, reach: int) -> DataFrame:
-    """(key, entity, start, kind, end, found): each term beside each entity, of the rows with entities."""
-    covered = S.pieces(S.covered(F.col("text_"), F.col("base_spans"), COVER))
-    around = S.let(
-        F.struct(covered.alias("covered"), F.length("text_").alias("length")),
-        lambda x: F.transform("base_spans", lambda s: F.struct(_entity(s).alias("entity"), _terms_beside(x["covered"], x["length"], s, reach).alias("terms"))),
+def _held(found: DataFrame) -> DataFrame:
+    """(key, n, entities, terms) of the distinct texts with entities; n rows have the text."""
+    row = found.filter(F.size("base_spans") > 0).select(
+        text_key(F.col("text_")).alias("key"),
+        F.array_distinct(F.transform("base_spans", _entity)).alias("entities"),
+        _terms(_covered(F.col("text_"), F.col("base_spans")), FREE_TERM).alias("terms"),
+    )
+    return row.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+
+
+def disclosing(held: DataFrame, docs: DataFrame, text: str, support: int, generalise: float, remove: float) -> DataFrame:
+    """(key, term, grade) of the terms that disclose an entity of their text, from the whole corpus."""
+    total = F.lit(docs.count())
+    single = held.select("key", "n", F.explode("entities").alias("entity"))
+    # Entities with equal sums of the texts' keys stand in the same texts.
+    texts = F.struct(F.bit_xor("key.k1").alias("t1"), F.bit_xor("key.k2").alias("t2")).alias("texts")
+    entities = single.groupBy("entity").agg(F.sum("n").alias("with_entity"), texts).filter((F.col("with_entity") >= support) & (F.col("with_entity") < total))
+    alike = single.join(entities, "entity").select("key", "texts", "with_entity").distinct()
+    words = docs.select(F.explode(_terms(whole(text), TERM)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    # A hundredth more than the bound, so that rounding drops no pair.
+    least = min(generalise, remove)
+    bound = 1.01 * F.pow("with_entity", F.lit(least)) * F.pow(total, F.lit(1 - least))
+    widest = alike.groupBy("key").agg(F.max(bound).alias("widest"))
+    terms = held.join(widest, "key").select("key", "n", "widest", F.explode("terms").alias("term"))
+    terms = terms.join(words.filter(F.col("with_term") >= support), "term").filter("with_term <= widest").drop("widest")
+    pairs = written(terms.join(alike, "key").filter(F.col("with_term") <= bound), "pii-pairs")
+    share = F.log2(total * F.col("both") / (F.col("with_entity") * F.col("with_term"))) / F.log2(total / F.col("with_entity"))
+    grade = F.when(share >= remove, REMOVE).when(share >= generalise, GENERALISE)
+    together = pairs.groupBy("texts", "term", "with_entity", "with_term").agg(F.sum("n").alias("both")).filter(F.col("both") >= support)
+    graded = together.select("texts", "term", grade.alias("grade")).filter("grade is not null")
+    return pairs.select("key", "texts", "term").join(graded, ["texts", "term"]).select("key", "term", "grade")
+
+
+def _told(text: Column, base: Column, told: Column) -> Column:
+    """Sorted spans of all places of the ``told`` terms, (term, grade), in a text.
+
+    Terms and places are swept in the order of their letters, a term's strongest grade last before its places.
+    """
+    grades = F.transform(told, lambda t: F.struct(t["term"].alias("found"), F.lit(0).alias("mark"), t["grade"].alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end")))
+    places = F.transform(
+        S.located(_covered(text, base), FREE_TERM, 0),
+        lambda s: F.struct(F.lower(s["found"]).alias("found"), F.lit(1).alias("mark"), s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     )
-    return found.filter(F.size("base_spans") > 0).select(text_key(F.col("text_")).alias("key"), around.alias("around"))
 
+    def step(state: Column, item: Column) -> Column:
+        is_grade = item["mark"] == 0
+        span = F.struct(item["start"].alias("start"), state["kind"].alias("kind"), item["end"].alias("end"), item["found"].alias("found"))
+        return F.struct(
+            F.when(is_grade, item["found"]).otherwise(state["term"]).alias("term"),
+            F.when(is_grade, item["kind"]).otherwise(state["kind"]).alias("kind"),
+            F.when(~is_grade & (item["found"] == state["term"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"),
+        )
+
+    def block(state: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(state["term"].alias("term"), state["kind"].alias("kind"), S.none().alias("out")), step)
+        return S.let(inner, lambda i: F.struct(i["term"].alias("term"), i["kind"].alias("kind"), F.concat(state["out"], i["out"]).alias("out")))
 
-def disclosing(around: DataFrame, docs: DataFrame, text: str, support: int, generalise: float, remove: float) -> DataFrame:
-    """(entity, term, grade) of the terms that disclose an entity, from the whole corpus."""
-    pairs = F.array_distinct(F.flatten(F.transform("around", lambda a: F.transform(a["terms"], lambda t: F.struct(a["entity"].alias("entity"), t["found"].alias("term"))))))
-    together = around.select(F.explode(pairs).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
-    entities = around.select(F.explode(F.array_distinct(F.transform("around", lambda a: a["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(whole(text)), F.lit(TERM), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    joined = together.join(entities, "entity").join(terms, "term", "left").withColumn("total", F.lit(docs.count()))
-    with_term = F.greatest("both", F.coalesce("with_term", "both"))
-    share = F.log2(F.col("total") * F.col("both") / (F.col("with_entity") * with_term)) / F.log2(F.col("total") / F.col("with_entity"))
-    graded = joined.filter("with_entity < total").withColumn("share", share)
-    grade = F.when(F.col("share") >= remove, REMOVE).when(F.col("share") >= generalise, GENERALISE)
-    return graded.select("entity", "term", grade.alias("grade")).filter("grade is not null")
+    begin = F.struct(F.lit("").alias("term"), F.lit(0).alias("kind"), S.none().alias("out"))
+    return S.let(F.array_sort(F.concat(grades, places)), lambda a: F.array_sort(F.aggregate(S.in_blocks(a), begin, block, lambda s: s["out"])))
 
 
 def _tag(span: Column) -> Column:
@@ -133,7 +161,6 @@ def _tag(span: Column) -> Column:
 def protected(
     docs: DataFrame,
     text: str = "text",
-    reach: int = REACH,
     support: int = SUPPORT,
     generalise: float = GENERALISE_SHARE,
     remove: float = REMOVE_SHARE,
@@ -145,27 +172,20 @@ def protected(
     if clash := set(ADDED) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are in the way")
     texts = docs.select(whole(text).alias("text_")).withColumn("base_spans", base_spans(F.col("text_")))
-    around = written(_contexts(texts, reach), "pii-contexts")
-    grades = disclosing(around, docs, text, support, generalise, remove)
-    beside = around.select("key", F.explode("around").alias("a")).select("key", "a.entity", F.explode("a.terms").alias("t"))
-    told = beside.join(grades, (beside["entity"] == grades["entity"]) & (F.col("t.found") == grades["term"]))
-    span = F.struct(F.col("t.start").alias("start"), F.col("grade").alias("kind"), F.col("t.end").alias("end"), F.col("t.found").alias("found"))
-    found = told.groupBy("key").agg(_strongest(F.array_sort(F.collect_set(span))).alias("added_"))
+    held = written(_held(texts), "pii-held")
+    told = disclosing(held, docs, text, support, generalise, remove)
+    found = told.groupBy("key").agg(F.collect_set(F.struct("term", "grade")).alias("told"))
     names = docs.columns
     rows = docs.select(F.struct(*names).alias("row_"), whole(text).alias("text_")).withColumn("base_spans", base_spans(F.col("text_")))
     # Only rows with entities can get spans, so only these move.
     with_entity = rows.filter(F.size("base_spans") > 0).withColumn("key", text_key(F.col("text_")))
-    joined = with_entity.join(found, "key", "left").select("row_", "text_", "base_spans", F.coalesce("added_", S.none()).alias("added_spans"))
+    added = F.when(F.col("told").isNotNull(), _told(F.col("text_"), F.col("base_spans"), F.col("told"))).otherwise(S.none())
+    joined = with_entity.join(found, "key", "left").select("row_", "text_", "base_spans", added.alias("added_spans"))
     without = rows.filter(F.size("base_spans") == 0).select("row_", "text_", "base_spans", S.none().alias("added_spans"))
     out = joined.union(without).withColumn("spans", F.array_sort(F.concat("base_spans", "added_spans")))
     return out.select("row_.*", "base_spans", "added_spans", "spans", S.replaced(F.col("text_"), F.col("spans"), _tag).alias("sanitised"))
 
 
-def _strongest(spans: Column) -> Column:
-    """One of the sorted spans for each place: a term that is to be removed for one entity is not generalised for another."""
-    return S.let(spans, lambda a: F.filter(a, lambda s, i: F.coalesce(F.get(a, i + 1)["start"] != s["start"], F.lit(True))))
-
-
 def sanitised(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs`` with the text sanitised, all columns in their order.  A null text stays null."""
     out = protected(docs, text, **how)

@@ -55,7 +55,7 @@ def apart(spans: Column, others: Column) -> Column:
             return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(state["out"], i["out"]).alias("out")))
 
         start = F.struct(F.lit(begin).alias("at"), none().alias("out"))
-        return let(items, lambda a: F.when(F.size(a) > 0, F.aggregate(_in_blocks(a), start, block, lambda s: s["out"])).otherwise(none()))
+        return let(items, lambda a: F.when(F.size(a) > 0, F.aggregate(in_blocks(a), start, block, lambda s: s["out"])).otherwise(none()))
 
     # Forwards against those that begin before a span or with it, backwards against those that begin in it.
     ahead = F.array_sort(F.concat(marked(others, 0), marked(spans, 1)))
@@ -64,7 +64,7 @@ def apart(spans: Column, others: Column) -> Column:
     return F.reverse(swept(back, 1, NEVER, lambda at, s: s["start"], lambda at, s: s["end"] <= at))
 
 
-def _in_blocks(items: Column) -> Column:
+def in_blocks(items: Column) -> Column:
     return F.transform(
         F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
         lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)),
@@ -91,7 +91,7 @@ def _running(matches: Column, gaps: Column, kind: int) -> Column:
         return let(inner, lambda i: F.struct(i["at"].alias("at"), F.concat(state["out"], i["out"]).alias("out")))
 
     begin = F.struct(F.lit(0).alias("at"), none().alias("out"))
-    return let(pieces, lambda p: F.aggregate(_in_blocks(p), begin, block, lambda s: s["out"]))
+    return let(pieces, lambda p: F.aggregate(in_blocks(p), begin, block, lambda s: s["out"]))
 
 
 def located(text: Column, pattern: str, kind: int, valid: Callable[[Column], Column] | None = None) -> Column:
@@ -149,4 +149,4 @@ def _joined(parts: Column, length: Column, spans: Column, tag: Callable[[Column]
         return F.concat(F.array_join(state["out"], ""), cut(parts, state["at"], length))
 
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(_in_blocks(spans), begin, block, rest)
+    return F.aggregate(in_blocks(spans), begin, block, rest)

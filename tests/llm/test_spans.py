@@ -141,6 +141,45 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert [r["text"] for r in pii.sanitised(rows).filter("doc_id = 65").collect()] == ["nothing here"]
 
 
+def test_terms_far_from_an_entity_go(spark):
+    filler = "the road was long and the day was mild " * 10
+    common = [f"{filler} {i}" for i in range(60)]
+    near = [f"write to Baroness Orczy at x2@y.org {filler} matter {i} {filler} yours, BARONESS orczy" for i in range(4)]
+    far = [f"x3@y.org {filler} {i} {filler} yours, viscount" for i in range(4)]
+    texts = common + near + far + [far[0]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["sanitised"].lower() for r in pii.protected(rows).collect()}
+    assert not any(word in got[i] for i in range(60, 64) for word in ("baroness", "orczy", "matter", "write"))
+    assert not any("viscount" in got[i] for i in range(64, 69))
+    assert all(got[i].count("road") == 20 for i in range(60, 69))
+    assert all(got[i] == texts[i] for i in range(60))
+
+
+def test_grades_of_whole_rows_are_those_of_all_pairs(spark):
+    pick = random.Random(5)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    people = [f"p{i}@q.org" for i in range(6)]
+    texts = []
+    for i in range(160):
+        own = pick.sample(range(6), pick.choice([0, 0, 1, 1, 2]))
+        row = [people[p] for p in own] + [w for p in own for w in words[p * 4 : p * 4 + 4] if pick.random() < 0.9] + pick.choices(words[20:], k=30)
+        pick.shuffle(row)
+        texts += [" ".join(row)] * pick.choice([1, 1, 1, 3])
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = 0
+    share = {(p, w): disclosure(texts, p, w) for p in people for w in words}
+    for r in pii.protected(rows).collect():
+        grades = {}
+        for p in people:
+            for w in words if p in r["text"] else ():
+                if share[p, w] >= 0.75 - 1e-9:
+                    grades[w] = max(grades.get(w, 0), 5 if share[p, w] >= 0.95 else 4)
+        want = [(m.start(), grades[m[0]], m.end()) for m in re.finditer(r"\bword[a-j]{2}\b", r["text"]) if m[0] in grades]
+        assert [(s["start"], s["kind"], s["end"]) for s in r["added_spans"]] == want
+        some += len(want)
+    assert some > 100
+
+
 def test_partly_disclosing_terms_are_generalised(spark):
     texts = [f"plain words number {i}" for i in range(500)] + ["ask harbour desk at q@r.st now"] * 5 + ["the harbour is far"] * 2
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
