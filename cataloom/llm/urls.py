@@ -8,8 +8,9 @@ are spread as the next shorter order says.  The score is the difference of
 the mean log-likelihoods per character; the threshold is calibrated on rule-decided URLs that were
 kept out of the counts.
 
-The models count every learning URL of the table, in every task before anything moves.  Contexts are hashed to
-``slots`` places, so a model has a size that the data cannot raise, and is broadcast.
+The models are one table of exact counts of (order, context, character) that grows with the URLs.  The
+URLs to score are joined with it by their distinct grams (a character and the ``order`` characters before
+it), and the logarithms are summed per distinct URL.  A table that is measured to be small is broadcast.
 
 A null URL or one without ``://`` has an empty host and path, fits no rule and gets ``default``, as do
 all undecided URLs when one of the two classes has nothing to learn from.  Repeated rows count as often
@@ -18,15 +19,16 @@ as they occur; null ids are kept; an empty table gives an empty table; further c
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from ..operators.joins import fits_broadcast
+from . import spans as S
+from .common import text_key, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,7 +44,7 @@ RULES: Sequence[Rule] = (
 @dataclass(frozen=True)
 class Settings:
     order: int = 4
-    slots: int = 1 << 16
+    slots: int = 1 << 16  # of no effect: counts are exact
     held_out: int = 5
     bins: int = 4000
     span: float = 20.0
@@ -73,101 +75,99 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+def _grams(url: Column, order: int) -> Column:
+    """(context, character) of each character and of the end, whose character is empty.
 
+    A context of fewer than ``order`` characters begins with the URL.
+    """
+    at = lambda c, i: F.struct(
+        F.array_join(F.slice(c, F.greatest(i - order, F.lit(1)), F.least(i - 1, F.lit(order))), "").alias("context"),
+        F.coalesce(F.get(c, i - 1), F.lit("")).alias("character"),
+    )
+    characters = F.regexp_extract_all(url, F.lit("(?s)."), F.lit(0))
+    return S.let(characters, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) + 1), lambda i: at(c, i)))
+
+
+def _keys(gram: Column, order: int) -> Column:
+    """What a gram counts for in each order: part 0 the (context, character), part 1 the context."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(part).alias("part"),
+                F.lit(k).alias("order"),
+                F.right(gram["context"], F.lit(k)).alias("context"),
+                (gram["character"] if part == 0 else F.lit("")).alias("character"),
+            )
+            for k in range(order + 1)
+            for part in (0, 1)
+        ]
+    )
 
-def _characters(urls: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One row of numbers for all URLs, each behind ``order`` fillers and before an end mark; the
-    places of characters and end marks; the number of the URL at each place."""
-    raw = [u.encode("utf-32-le", "surrogatepass") for u in urls]
-    sizes = np.array([len(r) // 4 for r in raw], np.int64) + order + 1
-    ends = np.cumsum(sizes)
-    row = np.ones(int(sizes.sum()), np.uint64)
-    owner = np.repeat(np.arange(len(urls)), sizes)
-    place = np.arange(len(row)) - (ends - sizes)[owner]
-    inner = (place >= order) & (place < (sizes - 1)[owner])
-    row[inner] = np.frombuffer(b"".join(raw), np.uint32).astype(np.uint64) + np.uint64(3)
-    row[ends - 1] = 2
-    return row, np.flatnonzero(place >= order), owner
 
+def counted(urls: DataFrame, settings: Settings) -> DataFrame:
+    """(label, url) -> (key, n0, n1), exact counts of each label, counted in each task and then over all."""
+    sums = [F.sum(f"n{label}").alias(f"n{label}") for label in (0, 1)]
+    ones = [(F.col("label") == label).cast("long").alias(f"n{label}") for label in (0, 1)]
+    grams = urls.select(F.explode(_grams(F.col("url"), settings.order)).alias("gram"), *ones).groupBy("gram").agg(*sums)
+    return grams.select(F.explode(_keys(F.col("gram"), settings.order)).alias("key"), "n0", "n1").groupBy("key").agg(*sums)
 
-def _places(row: np.ndarray, at: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order the hashed places of (context, character) and of the context."""
-    context = np.zeros(len(at), np.uint64)
-    for k in range(settings.order + 1):
-        if k:
-            context = context * np.uint64(1099511628211) + row[at - k] + np.uint64(2)
-        mixed = _mixed(context + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
-        pair = _mixed(mixed ^ row[at] * np.uint64(0xD6E8FEB86659FD93))
-        yield (pair % np.uint64(settings.slots)).astype(np.int64), (mixed % np.uint64(settings.slots)).astype(np.int64)
 
+def _looked_up(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """``big`` with the columns of the written table ``small``, which has each key once."""
+    return big.join(F.broadcast(small) if fits_broadcast(small) else small, on)
 
-@dataclass
-class Model:
-    """Per order: counts of (context, character) and of contexts, at their hashed places."""
 
-    pairs: np.ndarray
-    contexts: np.ndarray
+def _logarithms(grams: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
+    """(gram, log0, log1) of distinct grams: the log-likelihood of the character under each model."""
+    found = _looked_up(grams.select("gram", F.explode(_keys(F.col("gram"), settings.order)).alias("key")), counts, "key")
+    number = lambda part, k, label: F.sum(F.when((F.col("key.part") == part) & (F.col("key.order") == k), F.col(f"n{label}")).otherwise(0)).alias(f"n{part}{k}{label}")
+    orders = range(settings.order + 1)
+    # The context of order 0 is found for every gram.
+    sums = found.groupBy("gram").agg(*[number(part, k, label) for part in (0, 1) for k in orders for label in (0, 1)])
+    logs = []
+    for label in (0, 1):
+        chance = F.lit(1 / 256)
+        for k in orders:
+            chance = (F.col(f"n0{k}{label}") + settings.strength * chance) / (F.col(f"n1{k}{label}") + settings.strength)
+        logs.append(F.ln(chance).alias(f"log{label}"))
+    return sums.select("gram", *logs)
 
-    def mean_log_likelihoods(self, urls: list[str], settings: Settings) -> np.ndarray:
-        row, at, owner = _characters(urls, settings.order)
-        chance = np.full(len(at), 1 / 256)
-        for k, (pair, context) in enumerate(_places(row, at, settings)):
-            chance = (self.pairs[k, pair] + settings.strength * chance) / (self.contexts[k, context] + settings.strength)
-        return np.bincount(owner[at], np.log(chance), len(urls)) / np.maximum(1, np.bincount(owner[at], minlength=len(urls)))
 
+def mean_log_likelihoods(urls: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
+    """(key, mean0, mean1) of each distinct ``url``, per character under each model; ``key`` is its text_key."""
+    places = urls.select("url").distinct().select(text_key(F.col("url")).alias("key"), F.explode(_grams(F.col("url"), settings.order)).alias("gram"))
+    logs = written(_logarithms(places.select("gram").distinct(), counts, settings), "url-grams")
+    return _looked_up(places, logs, "gram").groupBy("key").agg(F.avg("log0").alias("mean0"), F.avg("log1").alias("mean1"))
 
-def counted(urls: DataFrame, settings: Settings) -> DataFrame:
-    """(label, url) -> (label, part, order, place, n), counted in each task and then over all.
 
-    Part 0 are (context, character) pairs, part 1 contexts.
-    """
-    shape = (2, 2, settings.order + 1, settings.slots)
+@dataclass
+class Model:
+    """One label's model in the table of counts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(shape, np.int64)
-        for batch in batches:
-            labels, urls_ = batch.column(0).to_numpy(zero_copy_only=False), np.array(batch.column(1).to_pylist(), object)
-            for label in (0, 1):
-                row, at, _ = _characters(urls_[labels == label].tolist(), settings.order)
-                for k, both in enumerate(_places(row, at, settings)):
-                    for part, places in enumerate(both):
-                        sums[label, part, k] += np.bincount(places, minlength=settings.slots)
-        at = np.flatnonzero(sums.ravel())
-        if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*np.unravel_index(at, shape), sums.ravel()[at])], names=["label", "part", "order", "place", "n"])
+    counts: DataFrame
+    label: int
 
-    partial = small_batches(urls.select("label", "url")).mapInArrow(run, "label long, part long, order long, place long, n long")
-    return partial.groupBy("label", "part", "order", "place").agg(F.sum("n").alias("n"))
+    def mean_log_likelihoods(self, urls: list[str], settings: Settings) -> np.ndarray:
+        """For a few URLs; ``judged`` joins tables."""
+        rows = self.counts.sparkSession.createDataFrame(list(enumerate(urls)), "i long, url string").withColumn("key", text_key(F.col("url")))
+        found = rows.join(mean_log_likelihoods(rows, self.counts, settings), "key").select("i", f"mean{self.label}").collect()
+        return np.array([value for _, value in sorted(map(tuple, found))])
 
 
 def train(urls: DataFrame, settings: Settings) -> list[Model] | None:
     """Models of label 0 and 1 from (label, url); None when a label has no URL."""
-    # At most 2 * 2 * (order + 1) * slots rows, whatever the table holds.
-    got = counted(urls, settings).toPandas()
-    if set(got["label"]) != {0, 1}:
+    counts = written(counted(urls, settings), "url-counts")
+    every = counts.filter("key.part = 1 and key.order = 0").first()
+    if every is None or not (every["n0"] and every["n1"]):
         return None
-    sums = np.zeros((2, 2, settings.order + 1, settings.slots), np.float32)
-    sums[got["label"], got["part"], got["order"], got["place"]] = got["n"]
-    return [Model(*sums[label]) for label in (0, 1)]
+    return [Model(counts, label) for label in (0, 1)]
 
 
-def scored(urls: DataFrame, models: list[Model], settings: Settings, keep: Sequence[str]) -> DataFrame:
+def scored(urls: DataFrame, models: list[Model], settings: Settings) -> DataFrame:
     """``urls`` with ``score``: how much likelier a character is under model 1 than under model 0."""
-    shared = urls.sparkSession.sparkContext.broadcast(models)
-    urls = small_batches(urls.select(*keep, F.coalesce("url", F.lit("")).alias("url")))
-    schema = urls.drop("url").schema.add("score", "double")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rejected, accepted = shared.value
-        for batch in batches:
-            urls_ = batch.column("url").to_pylist()
-            found = accepted.mean_log_likelihoods(urls_, settings) - rejected.mean_log_likelihoods(urls_, settings)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(found)], names=[*keep, "score"])
-
-    return urls.mapInArrow(run, schema)
+    keyed = urls.withColumn("key", text_key(F.col("url")))
+    means = written(mean_log_likelihoods(urls, models[0].counts, settings), "url-means")
+    return _looked_up(keyed, means, "key").withColumn("score", F.col("mean1") - F.col("mean0")).drop("key", "mean0", "mean1")
 
 
 def threshold(held: DataFrame, settings: Settings) -> float:
@@ -199,7 +199,7 @@ def judged(pages: DataFrame, id_column: str = "page_id", url: str = "url", rules
     if models is None:
         rest = open_.select(*names, F.lit(None).cast("string").alias("rule"), F.lit(settings.default).alias("verdict"), F.lit(None).cast("double").alias("score"))
     else:
-        cut = threshold(scored(decided.filter("held"), models, settings, ["label"]), settings)
+        cut = threshold(scored(decided.filter("held").select("label", "url"), models, settings), settings)
         verdict = F.when(F.col("host") == "", settings.default).when(F.col("score") >= cut, "allow").otherwise("block")
-        rest = scored(open_, models, settings, names).select(*names, F.lit(None).cast("string").alias("rule"), verdict.alias("verdict"), "score")
+        rest = scored(open_.select(*names, F.coalesce("url", F.lit("")).alias("url")), models, settings).select(*names, F.lit(None).cast("string").alias("rule"), verdict.alias("verdict"), "score")
     return ruled.union(rest).withColumnRenamed("id", id_column)

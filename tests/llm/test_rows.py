@@ -91,6 +91,40 @@ def test_models_are_those_of_plain_counts(spark):
             assert abs(models[label].mean_log_likelihoods([url], some)[0] - total / (len(url) + 1)) < 1e-5
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_models_hold_many_contexts(spark, monkeypatch, small):
+    """More distinct grams than a table of 65,536 places could hold keep their own counts, broadcast or joined."""
+    import math
+
+    monkeypatch.setattr(urls, "fits_broadcast", lambda df: small)
+    pick = random.Random(7)
+    some = urls.Settings()
+    word = lambda: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    learn = [(i % 2, word()) for i in range(3000)]
+    counts = [defaultdict(int), defaultdict(int)]
+    for y, url in learn:
+        for i, c in enumerate([*url, ""]):
+            for k in range(5):
+                counts[y][k, url[max(0, i - k) : i], c] += 1
+                counts[y][k, url[max(0, i - k) : i]] += 1
+    assert sum(len(key) == 3 and key[0] == 4 for key in counts[0]) > 1 << 15
+    asked = [u for _, u in learn[:20]] + [word() for _ in range(20)] + ["", "é"]
+    models = urls.train(spark.createDataFrame(learn, "label long, url string"), some)
+    for label in (0, 1):
+        want = []
+        for url in asked:
+            total = 0.0
+            for i, c in enumerate([*url, ""]):
+                chance = 1 / 256
+                for k in range(5):
+                    context = url[max(0, i - k) : i]
+                    chance = (counts[label].get((k, context, c), 0) + some.strength * chance) / (counts[label].get((k, context), 0) + some.strength)
+                assert 0 < chance <= 1
+                total += math.log(chance)
+            want.append(total / (len(url) + 1))
+        assert models[label].mean_log_likelihoods(asked, some) == pytest.approx(want, abs=1e-9)
+
+
 def test_urls_without_examples(spark):
     rows = spark.createDataFrame([(1, "http://a.info/x"), (None, None), (1, "http://a.info/x"), (2, "http://b.net/")], "page_id long, url string")
     got = [(r["page_id"], r["verdict"]) for r in urls.judged(rows).collect()]
