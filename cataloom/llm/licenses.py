@@ -30,22 +30,63 @@ from .common import small_batches, whole
 THRESHOLD = 0.8
 CUT = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
-# License texts and the notices that stand for them.
+BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+BSD_ADVERTISING = "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the copyright holder."
+BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_DISCLAIMER = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+
+def _gnu_header(work: str, name: str, version: str) -> str:
+    return f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version}, or (at your option) any later version. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+
+
+def _cc_sentence(kind: str) -> str:
+    return f"This work is licensed under a Creative Commons {kind} 4.0 International License."
+
+
+# License texts and the notices that stand for them.  Licenses that differ in a few words
+# need a template each, or the scan finds the name of the sibling.
 TEMPLATES: Mapping[str, str] = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-4.0-notice": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
+    "cc0-1.0-notice": "Licensed under CC0 1.0.",
+    "cc0-1.0-statement": "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work.",
     "cc-by-4.0-sentence": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-sentence": _cc_sentence("Attribution-ShareAlike"),
+    "cc-by-nd-4.0-sentence": _cc_sentence("Attribution-NoDerivatives"),
+    "cc-by-nc-4.0-sentence": _cc_sentence("Attribution-NonCommercial"),
+    "cc-by-nc-sa-4.0-sentence": _cc_sentence("Attribution-NonCommercial-ShareAlike"),
+    "cc-by-nc-nd-4.0-sentence": _cc_sentence("Attribution-NonCommercial-NoDerivatives"),
     "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "gpl-1.0-header": _gnu_header("program", "General Public License", "1"),
+    "gpl-2.0-header": _gnu_header("program", "General Public License", "2 of the License"),
+    "lgpl-2.0-header": _gnu_header("library", "Library General Public License", "2 of the License"),
+    "lgpl-2.1-header": _gnu_header("library", "Lesser General Public License", "2.1 of the License"),
+    "lgpl-3.0-header": _gnu_header("library", "Lesser General Public License", "3 of the License"),
+    "agpl-3.0-header": _gnu_header("program", "Affero General Public License", "3 of the License"),
+    "lgpl-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "epl-1.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "epl-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
     "mit-notice": "Released under the MIT License.",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "mit-0": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
-    "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "bsd-2-clause": f"{BSD_CONDITIONS} {BSD_DISCLAIMER}",
+    "bsd-3-clause": f"{BSD_CONDITIONS} 3. {BSD_NAMES} {BSD_DISCLAIMER}",
+    "bsd-4-clause": f"{BSD_CONDITIONS} 3. {BSD_ADVERTISING} 4. {BSD_NAMES} {BSD_DISCLAIMER}",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to http://unlicense.org/",
 }
 
 
@@ -104,7 +145,7 @@ class Scanner:
             if stop - i < least:
                 continue
             left, common = dict(wanted), 0
-            best = None
+            best = 0.0
             for j in range(i, stop):
                 gram = int(grams[hits[j]])
                 if left[gram] > 0:
@@ -112,10 +153,10 @@ class Scanner:
                     common += 1
                 n = hits[j] - begin + 1
                 dice = 2 * common / (n + size)
-                if n >= least and dice >= self.threshold and (best is None or dice > best[0]):
-                    best = (dice, n)
-            if best:
-                yield Found(best[0], best[1], name, begin, begin + best[1] + 1)
+                # A longer passage of a lower Dice is never needed; a shorter one is, when the best overlaps another.
+                if n >= least and dice >= max(best, self.threshold):
+                    best = dice
+                    yield Found(dice, n, name, begin, begin + n + 1)
 
 
 def _best(found: list[Found]) -> list[Found]:

@@ -214,3 +214,21 @@ def test_licenses_odd_rows(spark, odd, empty):
     assert Counter(r["license"] for r in got) == {"mit": 2, "mit-notice": 1}
     assert licenses.scanned(rows, templates={}).count() == 0
     assert F.col("doc_id") is not None
+
+
+SIBLINGS = {
+    "gpl-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program",
+    "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3",
+    "lgpl-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "cc-by-nc-4.0-sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+}
+
+
+def test_sibling_licenses_get_their_own_names(spark):
+    texts = [*licenses.TEMPLATES.items(), *SIBLINGS.items()]
+    for name in ("bsd-2-clause", "bsd-3-clause", "unlicense"):
+        assert "is provided" in licenses.TEMPLATES[name].lower()
+    rows = spark.createDataFrame([(i, f"some words before. {t} and words behind") for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"], round(r["dice"], 9)) for r in licenses.scanned(rows).collect())
+    assert [g[:2] for g in got] == [(i, name) for i, (name, _) in enumerate(texts)]
+    assert all(g[2] == 1 for g in got[: len(licenses.TEMPLATES)])
