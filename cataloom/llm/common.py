@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,5 +41,26 @@ def whole(text: str) -> Column:
 
 
 def text_key(text: Column) -> Column:
-    """128 hash bits of a text.  Rows with equal texts share it, whatever their ids are."""
-    return F.struct(F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
+    """128 hash bits of a text.  Rows with equal texts share it, whatever their ids are.
+
+    The constant comes first: each argument's hash seeds the next one's, so behind the text it would
+    only hash the first half once more.
+    """
+    return F.struct(F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``; a longer text is a batch by itself."""
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        begin = 0
+        for i, size in enumerate(sizes.tolist()):
+            if held and held + size > limit:
+                yield pa.concat_batches([*waiting, batch.slice(begin, i - begin)])
+                waiting, held, begin = [], 0, i
+            held += size
+        waiting.append(batch.slice(begin))
+    if sum(b.num_rows for b in waiting):
+        yield pa.concat_batches(waiting)
