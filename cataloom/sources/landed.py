@@ -6,11 +6,10 @@ tool; everything from there on is Spark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import csvtext
-from ..functions.text import strip
+from .csv_heads import MAX_BYTES, CsvHeads
 
 
 def read_catalog_pages(
@@ -33,30 +32,12 @@ def read_catalog_pages(
     return entries.orderBy("offset", "pos").limit(total_limit)
 
 
-def sample_landed_csv(spark: SparkSession, path: str, max_rows: int = 5) -> DataFrame:
-    """``(file_path, sample_csv)``: header plus the first ``max_rows`` non-blank lines.
+def sample_landed_csv(spark: SparkSession, path: str, max_rows: int = 5, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``(file_path, sample_csv)``: header plus the first ``max_rows`` records of each file that has one.
 
-    Big files are split as usual.  A line's place is the start of its split plus the running
-    number inside the task, and the per-file rank is limited before the shuffle, so a task
-    sends on at most ``max_rows + 1`` lines per file however large the file is.
+    Only the head of a file is read, ``max_bytes`` at most; quoted cells with line ends stay whole.  The
+    header does not count as a row.
     """
-    found = (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("place"),
-            strip(F.col("value")).alias("line"),
-        )
-        .filter(F.col("line") != "")
-    )
-    first = Window.partitionBy("file_path").orderBy("block_start", "place")
-    kept = found.withColumn("rank", F.row_number().over(first)).filter(
-        F.col("rank") <= max_rows + 1
-    )
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda x: x["line"]
-    )
-    return kept.groupBy("file_path").agg(
-        csvtext.normalise_lines(ordered, max_rows).alias("sample_csv")
-    )
+    spark.dataSource.register(CsvHeads)
+    heads = spark.read.format(CsvHeads.name()).option("max_rows", max_rows).option("max_bytes", max_bytes).load(path)
+    return heads.filter("sample_csv is not null").select("file_path", "sample_csv")

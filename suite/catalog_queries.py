@@ -107,6 +107,28 @@ def sample_landed_csv(spark, folder):
     )
 
 
+@query(
+    "sample_quoted_csv",
+    """
+SELECT block, 'c_custkey,note,c_acctbal' || chr(10) || string_agg(c_custkey || ',"' || c_name || chr(10) || '""' || c_mktsegment
+  || '"", ' || c_custkey || '",' || CAST(c_acctbal AS DECIMAL(12,2)), chr(10) ORDER BY c_custkey) AS sample_csv
+FROM (SELECT *, c_custkey // 300 AS block, row_number() OVER (PARTITION BY c_custkey // 300 ORDER BY c_custkey) AS n FROM customer)
+WHERE n <= 4 GROUP BY block""",
+)
+def sample_quoted_csv(spark, folder):
+    """Files whose second cells hold quotes, commas and a line end; four records sampled of each."""
+    path = scratch_path(spark, "quoted")
+    key = F.col("c_custkey")
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('", '), key.cast("string"))
+    rows = views.table(spark, folder, "customer").select(
+        ((key - key % 300) / 300).cast("long").alias("block"), key, note.alias("note"), F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal")
+    )
+    dealt = rows.repartition("block").sortWithinPartitions("block", "c_custkey")
+    dealt.write.partitionBy("block").option("header", True).option("escape", '"').csv(path)
+    sampled = landed.sample_landed_csv(spark, path, max_rows=4)
+    return sampled.select(F.regexp_extract("file_path", "block=([0-9]+)/", 1).cast("long").alias("block"), "sample_csv")
+
+
 QRELS_SQL = """
 WITH q AS (
   SELECT CAST(quality AS VARCHAR) AS topic, CASE WHEN toxic = 1 THEN '' ELSE CAST(l.doc_id AS VARCHAR) END

@@ -1,8 +1,12 @@
 """Sources, ingest, preparation, sampling."""
 
+import csv
+import io
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cataloom import schemas
@@ -10,6 +14,7 @@ from cataloom.functions import csvtext, jsontext
 from cataloom.functions.text import has_text, shrink_sample_csv
 from cataloom.operators import ingest, prepare, sampling
 from cataloom.sources import landed, qrels, stages
+from cataloom.sources.csv_heads import CHUNK, SPECIAL, CsvHeads, head
 
 
 def values(df):
@@ -259,10 +264,52 @@ def test_csv_quotes_open_at_the_start_of_a_field_only(spark):
     assert [got[i][1] for i in range(6)] == [False, True, True, True, False, True]
 
 
-def test_landed_csv_cut_inside_a_cell(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('h1,h2\n1,"first\nsecond\nthird"\n2,b\n')
+def test_landed_csv_keeps_cells_with_line_ends_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h1,h2\n1,"first\nsecond\nthird"\n2,b\n3,c\n')
     found = landed.sample_landed_csv(spark, str(tmp_path), max_rows=2).first()["sample_csv"]
-    assert found == 'h1,h2\n1,"first\nsecond"'
+    assert found == 'h1,h2\n1,"first\nsecond\nthird"\n2,b'
+    rows = "".join(f'"m{i}\nn{i}",{i}\n' for i in range(9))
+    (tmp_path / "a.csv").write_text("x,y\n" + rows)
+    found = landed.sample_landed_csv(spark, str(tmp_path), max_rows=3).first()["sample_csv"]
+    assert found == 'x,y\n"m0\nn0",0\n"m1\nn1",1\n"m2\nn2",2'
+
+
+def test_csv_heads_read_a_bounded_part(spark, tmp_path):
+    (tmp_path / "part=1").mkdir()
+    long_row = "v" * 100
+    (tmp_path / "part=1" / "long.csv").write_text("h\n" + f"{long_row}\n" * 200_000)
+    (tmp_path / "open.csv").write_text('h\n1\n"never closed\n' + "2\n" * 100_000)
+    (tmp_path / "latin.csv").write_bytes(b"\xef\xbb\xbfh,k\r\nb\xe9,\"q\"\"\"\r")
+    (tmp_path / "_SUCCESS").write_text("h\n")
+    spark.dataSource.register(CsvHeads)
+    reader = spark.read.format("csv_heads").option("max_rows", 3).option("max_bytes", 50_000).option("files_per_task", 1)
+    rows = {r["file_path"].rsplit("/", 1)[1]: r for r in reader.load(str(tmp_path)).collect()}
+    assert set(rows) == {"long.csv", "open.csv", "latin.csv"}
+    assert rows["long.csv"]["sample_csv"] == "\n".join(["h", *[long_row] * 3])
+    assert rows["long.csv"]["bytes_read"] <= 2 * CHUNK and rows["long.csv"]["complete"]
+    assert rows["open.csv"]["sample_csv"] == "h\n1"
+    assert not rows["open.csv"]["complete"] and rows["open.csv"]["bytes_read"] == 50_000
+    assert rows["latin.csv"]["sample_csv"] == 'h,k\nb\ufffd,"q"""'
+    with pytest.raises(Exception, match="nowhere"):
+        reader.load(str(tmp_path / "nowhere")).collect()
+
+
+@given(
+    rows=st.lists(st.lists(st.text('a, "\n\ré\U0001f600', max_size=6), min_size=2, max_size=3), min_size=1, max_size=6),
+    chunk=st.integers(1, 9),
+    ends=st.sampled_from(["\n", "\r\n", "\r"]),
+    cut=st.integers(0, 6),
+)
+@settings(max_examples=300, deadline=None)
+def test_heads_agree_with_a_csv_reader(rows, chunk, ends, cut):
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator=ends, quoting=csv.QUOTE_ALL).writerows(rows)
+    data = out.getvalue().encode()
+    sample, n, size, whole = head(io.BytesIO(data), cut, chunk=chunk)
+    assert n == min(len(rows), cut + 1) and whole and size <= len(data)
+    # Outer white space of a record goes when its first or last field needs no quotes.
+    want = [[f if SPECIAL.search(f) else f.lstrip() if i == 0 else f.rstrip() if i == len(r) - 1 else f for i, f in enumerate(r)] for r in rows[: cut + 1]]
+    assert list(csv.reader(io.StringIO(sample, newline=""))) == want
 
 
 def test_a_shared_address_does_not_multiply_rows(spark):
