@@ -34,7 +34,7 @@ SUPPORT = 3
 TOP = 200
 SCALE = 1_000_000_000
 # Bytes of text that a task sums up at a time, pairs that it evaluates at a time.
-TEXT_BYTES = 48_000_000
+TEXT_BYTES = 8_000_000
 PAIR_ROWS = 2_000_000
 # Letters A-Z become small, ASCII characters other than letters part the terms.
 SHAPE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
