@@ -113,22 +113,43 @@ def kept_terms(texts: DataFrame, support: int = SUPPORT) -> DataFrame:
             yield _term_rows(batch)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None  # the last term's sums; its rows may go on
         for batch in batches:
-            deep = [batch[name] for name in ("sources", "counts")]
-            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(deep[0]).to_numpy(zero_copy_only=False))
-            inner = [d.flatten() for d in deep]
-            row = np.repeat(row, pc.list_value_length(inner[0]).to_numpy(zero_copy_only=False))
-            names = inner[0].flatten().dictionary_encode()
-            (row, source), (n,) = _summed([row, names.indices.to_numpy(zero_copy_only=False).astype(np.int64)], inner[1].flatten().to_numpy())
-            cuts = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch["lang"], batch["term"], pa.ListArray.from_arrays(cuts, names.dictionary.take(pa.array(source))), pa.ListArray.from_arrays(cuts, pa.array(n))],
-                names=["lang", "term", "sources", "counts"],
-            )
-
-    rows = texts.mapInArrow(count, TERMS).groupBy("lang", "term")
-    met = rows.agg(F.sum("df").alias("df"), F.collect_list("sources").alias("sources"), F.collect_list("counts").alias("counts"))
-    return met.filter(F.col("df") >= support).drop("df").mapInArrow(merge, "lang string, term string, sources array<string>, counts array<long>")
+            if batch.num_rows:
+                merged = _merged(batch if open_ is None else pa.concat_batches([open_, batch]))
+                open_ = merged.slice(merged.num_rows - 1)
+                yield kept(merged.slice(0, merged.num_rows - 1))
+        if open_ is not None:
+            yield kept(open_)
+
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pc.greater_equal(batch["df"], support)).drop_columns("df")
+
+    # Rows are sums already, so they are sorted, not hashed once more before they move.
+    dealt = texts.mapInArrow(count, TERMS).repartition("lang", "term").sortWithinPartitions("lang", "term")
+    return dealt.mapInArrow(merge, "lang string, term string, sources array<string>, counts array<long>")
+
+
+def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of equal (lang, term), which follow each other, as one."""
+    new = np.ones(batch.num_rows, bool)
+    for name in ("lang", "term"):
+        other = pc.not_equal(batch[name].slice(1), batch[name].slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = other if name == "lang" else new[1:] | other
+    begin = np.flatnonzero(new)
+    row = np.repeat(np.cumsum(new) - 1, pc.list_value_length(batch["sources"]).to_numpy(zero_copy_only=False))
+    names = batch["sources"].flatten().dictionary_encode()
+    (row, source), (n,) = _summed([row, names.indices.to_numpy(zero_copy_only=False).astype(np.int64)], batch["counts"].flatten().to_numpy())
+    cuts = pa.array(np.searchsorted(row, np.arange(len(begin) + 1)).astype(np.int32))
+    at = pa.array(begin)
+    columns = [
+        batch["lang"].take(at),
+        batch["term"].take(at),
+        pa.array(np.add.reduceat(batch["df"].to_numpy(), begin)),
+        pa.ListArray.from_arrays(cuts, names.dictionary.take(pa.array(source))),
+        pa.ListArray.from_arrays(cuts, pa.array(n)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "df", "sources", "counts"])
 
 
 def chance(count: np.ndarray, total: np.ndarray | int, terms: int) -> np.ndarray:
