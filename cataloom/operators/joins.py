@@ -30,6 +30,16 @@ def fits_broadcast(
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
+def over_cores(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table that has fewer splits than the cluster has cores.
+
+    For work that costs more than moving its rows.  A table of many files has splits enough and stays
+    where it is; a file with one row group would be one task, whatever the number of cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def salt(*columns: str | Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 

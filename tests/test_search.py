@@ -278,7 +278,7 @@ def test_lists_are_filled_exactly_when_hits_score_below_zero(spark):
     assert [d for d, _ in found[2]] == [60, 0, 1] and [d for d, _ in found[3]] == [0, 1, 2]
 
 
-def test_a_stored_index_serves_many_searches_without_moving_scores(spark):
+def test_a_stored_index_serves_many_searches(spark):
     from cataloom.operators import retrieval
 
     docs = spark.createDataFrame([(i, i, f"w{i % 7} w{i % 11} city", 0.0) for i in range(80)], "doc_id long, doc_ord long, text string, qrel double")
@@ -286,13 +286,37 @@ def test_a_stored_index_serves_many_searches_without_moving_scores(spark):
     for similarity, mode in (("BM25", "words_and_marks"), ("TFIDF", "vectoriser")):
         index = retrieval.store_index(docs, mode, buckets=4)
         assert ranked(retrieval.search(index, asked, similarity)) == ranked(retrieval.search(docs, asked, similarity))
-    index = retrieval.store_index(docs, buckets=4)
-    scores = retrieval.bm25_scores(index, asked)
-    plan = scores._jdf.queryExecution().executedPlan().toString()
-    tail = plan.split("HashAggregate(keys=[query_id")[1]
-    assert "Exchange" not in tail.split("\n")[0] and "hashpartitioning(query_id" not in plan
 
     vectors_ = spark.createDataFrame([(1, 1, ([0, 2], [1.0, 1.0])), (2, 2, ([5], [1.0]))], "doc_id long, doc_ord long, v struct<indices:array<int>,values:array<double>>")
     wanted = spark.createDataFrame([(1, ([0], [2.0]))], "query_id long, v struct<indices:array<int>,values:array<double>>")
     found = retrieval.search(vectors_, wanted, "cosine", vector=retrieval.vector_field({"v": 1})).orderBy("rank").collect()
     assert [(r["doc_id"], round(r["score"], 6)) for r in found] == [(1, 0.707107), (2, 0.0)]
+
+
+@pytest.mark.parametrize("similarity, mode", [("BM25", "words_and_marks"), ("TFIDF", "vectoriser")])
+def test_stored_search_reads_few_blocks_and_finds_what_full_scoring_finds(spark, monkeypatch, similarity, mode):
+    monkeypatch.setattr(retrieval, "BLOCK_DOCUMENTS", 8)
+    pick = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    texts = [" ".join(pick.choices(words, weights, k=pick.randrange(1, 60))) for _ in range(1500)]
+    texts[7] = "rareword " * 30
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, doc_ord long, text string")
+    asked = [" ".join(pick.choices(words + ["unknown"], k=pick.randrange(1, 6))) for _ in range(1000)] + ["rareword w0", ""]
+    index = retrieval.store_index(docs, mode, buckets=5)
+    frame = spark.createDataFrame(list(enumerate(asked)), "query_id long, query_text string")
+    got = retrieval.search(index, frame, similarity, size=7).select("query_id", "rank", "doc_id", "score")
+    scores = retrieval.bm25_scores if similarity == "BM25" else retrieval.tfidf_scores
+    want = retrieval.top_k(scores(index, frame, zero_fill=7), 7).select("query_id", "rank", "doc_id", "score")
+    found, expected = sorted(map(tuple, got.collect())), sorted(map(tuple, want.collect()))
+    assert [r[:3] for r in found] == [r[:3] for r in expected]
+    assert [r[3] for r in found] == pytest.approx([r[3] for r in expected], abs=1e-8)
+    # Blocks that cannot reach the list are not read, and only the terms' parts are.
+    rare = frame.filter(F.col("query_text") == "rareword w0")
+    wanted = retrieval.blocks_to_read(index, rare, 1).collect()
+    every = index.stored.impacts.filter(F.col("term").isin("rareword", "w0")).count()
+    assert {r["term"] for r in wanted} <= {"rareword", "w0"} and len(wanted) <= 2 < every
+    assert index.stored.impacts.select("part").distinct().count() == 5
+    index.drop()
+    with pytest.raises(Exception):
+        index.vocabulary.count()
