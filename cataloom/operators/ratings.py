@@ -1,13 +1,14 @@
 """Elo ratings of pairwise results ``(aspect, tournament, seq, i, j, winner)``.
 
-Ratings depend on the order of the games of an item, so a tournament is serial in principle.
-Three things keep it parallel, all of them exact:
+Ratings depend on the order of the games of an item, so games that are linked through their items are
+serial.  Two things keep the rest parallel, both exact:
 
 * A game between two items that play no other game has a closed form.
-* Tournaments are independent of each other.
-* In one large tournament, games without a common item do not wait for each other: all games
-  that are next for both of their items are played at once, round by round, until what is left
-  is small.
+* Components, items that no game links, are independent of each other, also inside a tournament;
+  they are dealt to tasks, and a task streams through the games of one after the other.
+
+A component with most games of all is one stream: its games wait for each other in any schedule that
+a star or a league can have.
 """
 
 from __future__ import annotations
@@ -15,23 +16,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .components import components
 
 # The usual constants.
 K_FACTOR = 32
 INITIAL = 1500
 
-SERIAL_GAMES = 200_000
 KEYS = ["aspect", "tournament"]
 
 
-def _expected(own: Column, other: Column) -> Column:
-    return 1.0 / (1.0 + F.pow(F.lit(10.0), (other - own) / 400.0))
-
-
 def _sides(games: DataFrame) -> DataFrame:
     """One row per game and item."""
     sides = F.array(
@@ -87,15 +84,14 @@ def _isolated(games: DataFrame) -> DataFrame:
 
 
 def _play_in_order(games: DataFrame, k: int, init: int) -> DataFrame:
-    """Games in order, tournament after tournament; only the ratings of one are held.
+    """Games in order, component after component; only the ratings of one component are held.
 
-    Games stream through the task in batches.  ``start_i`` and ``start_j`` are the ratings the
-    items come with, null for the initial one.
+    Components are dealt to tasks; games stream through a task in batches.
     """
     schema = "aspect string, tournament string, item long, rating double, games long"
 
     def play(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current: tuple[str, str] | None = None
+        current: tuple | None = None
         ratings: dict[int, float] = {}
         played: dict[int, int] = {}
 
@@ -112,89 +108,24 @@ def _play_in_order(games: DataFrame, k: int, init: int) -> DataFrame:
             )
 
         for batch in batches:
-            columns = [batch[c] for c in (*KEYS, "i", "j", "won", "start_i", "start_j")]
-            for aspect, tournament, i, j, won, start_i, start_j in zip(*columns, strict=True):
-                if current != (aspect, tournament):
+            columns = [batch[c].tolist() for c in (*KEYS, "component", "i", "j", "won")]
+            for aspect, tournament, component, i, j, won in zip(*columns, strict=True):
+                if current != (aspect, tournament, component):
                     if current is not None:
                         yield table()
-                    current, ratings, played = (aspect, tournament), {}, {}
-                a = ratings.get(i, init if pd.isna(start_i) else start_i)
-                b = ratings.get(j, init if pd.isna(start_j) else start_j)
+                    current, ratings, played = (aspect, tournament, component), {}, {}
+                a, b = ratings.get(i, init), ratings.get(j, init)
                 step = k * (won - 1 / (1 + 10 ** ((b - a) / 400)))
                 ratings[i], ratings[j] = a + step, b - step
                 played[i], played[j] = played.get(i, 0) + 1, played.get(j, 0) + 1
         if current is not None:
             yield table()
 
-    ordered = games.repartition(*KEYS).sortWithinPartitions(*KEYS, "seq")
-    return ordered.select(*KEYS, "i", "j", "won", "start_i", "start_j").mapInPandas(play, schema)
-
-
-def _play_rounds(
-    games: DataFrame, k: int, init: int, serial_games: int
-) -> tuple[DataFrame, DataFrame]:
-    """Play ready games side by side until every tournament has at most ``serial_games`` left.
-
-    Returns the ratings so far and the games left.  A game is ready when it is the next one for
-    both of its items; ready games share no item, so playing them together changes nothing.
-    """
-    spark = games.sparkSession
-    left = games
-    ratings = spark.createDataFrame(
-        [], "aspect string, tournament string, item long, rating double, games long"
-    )
-    while True:
-        most = left.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if (most or 0) <= serial_games:
-            return ratings, left
-        heads = _sides(left).groupBy(*KEYS, "item").agg(F.min("seq").alias("seq"))
-        ready = (
-            heads.groupBy(*KEYS, "seq")
-            .agg(F.count(F.lit(1)).alias("_items"))
-            .filter(F.col("_items") == 2)
-            .drop("_items")
-        )
-        now = checkpointed(left.join(ready, [*KEYS, "seq"], "left_semi"))
-        with_ratings = _with_start(now, ratings)
-        a = F.coalesce("start_i", F.lit(float(init)))
-        b = F.coalesce("start_j", F.lit(float(init)))
-        step = F.lit(float(k)) * (F.col("won") - _expected(a, b))
-        moved = with_ratings.select(
-            *KEYS,
-            F.explode(
-                F.array(
-                    F.struct(F.col("i").alias("item"), (a + step).alias("rating")),
-                    F.struct(F.col("j").alias("item"), (b - step).alias("rating")),
-                )
-            ).alias("s"),
-        ).select(*KEYS, "s.item", "s.rating", F.lit(1).cast("long").alias("games"))
-        ratings = checkpointed(_newest(ratings, moved))
-        left = checkpointed(left.join(ready, [*KEYS, "seq"], "left_anti"))
-
-
-def _with_start(games: DataFrame, ratings: DataFrame) -> DataFrame:
-    def start(side: str) -> DataFrame:
-        return ratings.select(
-            *KEYS, F.col("item").alias(side), F.col("rating").alias(f"start_{side}")
-        )
+    ordered = games.repartition(*KEYS, "component").sortWithinPartitions(*KEYS, "component", "seq")
+    return ordered.select(*KEYS, "component", "i", "j", "won").mapInPandas(play, schema)
 
-    return games.join(start("i"), [*KEYS, "i"], "left").join(start("j"), [*KEYS, "j"], "left")
 
-
-def _newest(before: DataFrame, after: DataFrame) -> DataFrame:
-    """``after`` replaces the rating of its items; game counts add up."""
-    tagged = before.withColumn("_at", F.lit(0)).unionByName(after.withColumn("_at", F.lit(1)))
-    return tagged.groupBy(*KEYS, "item").agg(
-        F.max_by("rating", "_at").alias("rating"), F.sum("games").alias("games")
-    )
-
-
-def elo_ratings(
-    results: DataFrame,
-    k: int = K_FACTOR,
-    init: int = INITIAL,
-    serial_games: int = SERIAL_GAMES,
-) -> DataFrame:
+def elo_ratings(results: DataFrame, k: int = K_FACTOR, init: int = INITIAL) -> DataFrame:
     """``(aspect, tournament, item, rating, games)`` of every item that plays.
 
     ``seq`` is the order of the games; it is unique in a tournament.  Results may come straight
@@ -217,14 +148,10 @@ def elo_ratings(
         F.lit(1).cast("long").alias("games"),
     )
     rest = games.join(alone.select(*KEYS, "seq").distinct(), [*KEYS, "seq"], "left_anti")
-    sizes = rest.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= serial_games:
-        nothing = F.lit(None).cast("double")
-        unplayed = rest.withColumn("start_i", nothing).withColumn("start_j", nothing)
-        return closed.unionByName(_play_in_order(unplayed, k, init))
-    so_far, left = _play_rounds(rest, k, init, serial_games)
-    finished = _play_in_order(_with_start(left, so_far), k, init)
-    return closed.unionByName(_newest(so_far, finished))
+    if rest.isEmpty():
+        return closed
+    named = components(rest, KEYS, "i", "j").withColumnRenamed("node", "i")
+    return closed.unionByName(_play_in_order(rest.join(named, [*KEYS, "i"]), k, init))
 
 
 def all_ratings(ratings: DataFrame, items: DataFrame, init: int = INITIAL) -> DataFrame:

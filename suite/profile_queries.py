@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cataloom.functions import jsontext, prompts
 from cataloom.operators import complete, evaluation, prepare, semantics, structural
-from cataloom.operators.joins import top_ranked
 from cataloom.plans import describe
 
 from . import views
@@ -404,22 +404,24 @@ def description_prompt(spark, folder):
 
 
 @query(
-    "profile_portal_dates",
-    """WITH few AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders),
-kept AS (SELECT CAST(o_custkey AS VARCHAR) AS dataset_id, o_orderdate, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM few WHERE place <= 20)
+    "profile_portal_samples",
+    """WITH placed AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place FROM orders),
+kept AS (SELECT o_custkey || '-' || (place // 20) AS dataset_id, o_orderdate, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM placed)
 SELECT dataset_id, 'placed' AS col_name, 'datetime' AS data_type, CAST(min(o_orderdate) AS VARCHAR) AS first_time,
   CAST(max(o_orderdate) AS VARCHAR) AS last_time, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high FROM kept GROUP BY 1
 UNION ALL SELECT dataset_id, 'huge', 'float', NULL, NULL, min(CAST(price || 'e25' AS DOUBLE)), max(CAST(price || 'e25' AS DOUBLE)) FROM kept GROUP BY 1
 UNION ALL SELECT dataset_id, 'tiny', 'float', NULL, NULL, min(CAST(price || 'e-17' AS DOUBLE)), max(CAST(price || 'e-17' AS DOUBLE)) FROM kept GROUP BY 1""",
 )
-def profile_portal_dates(spark, folder):
-    """Samples of the orders of a customer, with dates as MM/dd/yyyy and AM or PM, and numbers far from 1."""
+def profile_portal_samples(spark, folder):
+    """Samples of twenty orders of a customer each, all of them, with dates as MM/dd/yyyy and AM or PM, and
+    numbers far from 1."""
     orders = views.table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     line = F.concat_ws(",", F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a"), F.concat(price, F.lit("e25")), F.concat(price, F.lit("e-17")))
-    few = top_ranked(orders, ["o_custkey"], [F.col("o_orderkey")], 20, "place")
-    lines = few.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines"))
-    samples = lines.select(F.col("o_custkey").cast("string").alias("dataset_id"), F.concat(F.lit("placed,huge,tiny\n"), "lines").alias("sample_csv"))
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    placed = orders.withColumn("place", place).withColumn("block", F.floor(F.col("place") / 20))
+    lines = placed.groupBy("o_custkey", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines"))
+    samples = lines.select(F.concat_ws("-", F.col("o_custkey").cast("string"), F.col("block").cast("string")).alias("dataset_id"), F.concat(F.lit("placed,huge,tiny\n"), "lines").alias("sample_csv"))
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return structural.profile_rows(samples).select("dataset_id", "col_name", "data_type", stamp("first_time"), stamp("last_time"), "low", "high")
 

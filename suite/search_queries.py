@@ -58,7 +58,37 @@ def rouge_stemmed(spark, folder):
     return scored.select("pair_id", F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
-@query("rougeL")
+# The table of common subsequences row by row: a cell is the greatest so far of the cell above and, where
+# the words are equal, one more than the cell above and before.
+LCS_SQL = """
+RECURSIVE_TOKENS,
+cell AS (SELECT pair_id, unnest(range(1, len(c) + 1)) AS j, unnest(c) AS word FROM tokens),
+line AS (SELECT pair_id, unnest(range(1, len(r) + 1)) AS i, unnest(r) AS word FROM tokens),
+grid(pair_id, i, j, best) AS (
+  SELECT pair_id, 0::BIGINT, j, 0 FROM cell
+  UNION ALL
+  SELECT pair_id, i, j, max(found) OVER (PARTITION BY pair_id ORDER BY j) FROM (
+    SELECT g.pair_id, g.i + 1 AS i, g.j,
+      CASE WHEN cell.word = line.word THEN 1 + lag(g.best, 1, 0) OVER (PARTITION BY g.pair_id ORDER BY g.j) ELSE g.best END AS found
+    FROM grid g JOIN line ON line.pair_id = g.pair_id AND line.i = g.i + 1 JOIN cell ON cell.pair_id = g.pair_id AND cell.j = g.j)
+),
+common AS (SELECT pair_id, max(best) AS lcs FROM grid GROUP BY pair_id)
+SELECT pair_id, round(CASE WHEN lcs > 0 THEN 2.0 * lcs / (len(r) + len(c)) ELSE 0.0 END, 6) AS score
+FROM tokens LEFT JOIN common USING (pair_id)"""
+
+ROUGE_L_SQL = (
+    "WITH RECURSIVE "
+    + views.PAIRS_SQL
+    + LCS_SQL.replace(
+        "RECURSIVE_TOKENS",
+        """, tokens AS (
+  SELECT dataset_id AS pair_id, regexp_extract_all(lower(original_description), '[a-z0-9]+') AS r,
+    regexp_extract_all(lower(generated_description), '[a-z0-9]+') AS c FROM text_pairs)""",
+    )
+)
+
+
+@query("rougeL", ROUGE_L_SQL)
 def rouge_l(spark, folder):
     pairs = views.score_pairs(views.text_pairs(spark, folder))
     return similarity.rouge_l(pairs).select("pair_id", F.round("rougeL", 6).alias("score"))

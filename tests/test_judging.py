@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cataloom.operators import complete, judging, ratings
+from cataloom.operators.components import components
 
 
 def test_scores_need_three_numbers(spark):
@@ -101,11 +102,9 @@ def results(spark, tournaments):
     return df.orderBy(F.rand(1)).repartition(5)
 
 
-@pytest.mark.parametrize("serial_games", [1000, 10])
-def test_elo_in_order_however_it_is_run(spark, serial_games):
-    """The second case plays the large tournaments in rounds."""
+def test_elo_in_order(spark):
     tournaments = {"t": games(1, 12, 16), "u": games(2, 4, 8), "lone": [(0, 1, "B"), (2, 3, "A")]}
-    got = {(r.tournament, r.item): (r.rating, r.games) for r in ratings.elo_ratings(results(spark, tournaments), serial_games=serial_games).collect()}
+    got = {(r.tournament, r.item): (r.rating, r.games) for r in ratings.elo_ratings(results(spark, tournaments)).collect()}
     for name, played in tournaments.items():
         want = elo(played, 12)
         for item in {x for g in played for x in g[:2]}:
@@ -149,3 +148,34 @@ def test_failed_comparisons_are_no_plays(spark):
     items = spark.createDataFrame([("o", 1), ("o", 2)], "aspect string, item long")
     got = {r["item"]: (r["wins"], r["plays"], r["win_rate"]) for r in judging.win_rates(results, items).collect()}
     assert got == {1: (1, 1, 1.0), 2: (0, 1, 0.0)}
+
+
+def test_components_of_chains_stars_and_groups(spark):
+    pick = random.Random(2)
+    links = [("a", i, i + 1) for i in range(0, 60)] + [("a", 500 - i, 499 - i) for i in range(40)] + [("a", 1000, 1000 + i) for i in range(1, 200)]
+    links += [("b", *pick.sample(range(300), 2)) for _ in range(220)] + [("a", 7, 7), ("c", 3, 3)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for key, u, v in links:
+        a, b = sorted((find((key, u)), find((key, v))))
+        root[b] = a
+    frame = spark.createDataFrame(links, "k string, i long, j long")
+    got = {(r["k"], r["node"]): r["component"] for r in components(frame, ["k"], "i", "j").collect()}
+    assert got == {x: find(x)[1] for x in list(root)}
+
+
+def test_elo_of_a_star_takes_few_jobs(spark):
+    games = 30_000
+    frame = spark.range(games).select(F.lit("x").alias("aspect"), F.lit("t").alias("tournament"), F.col("id").alias("seq"), F.lit(0).alias("i"), (F.col("id") % 9_000 + 1).alias("j"), F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias("winner"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = {r["item"]: r["rating"] for r in ratings.elo_ratings(frame).collect()}
+    after = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    want = elo([(0, i % 9_000 + 1, "A" if i % 3 == 0 else "B") for i in range(games)], 9_001)
+    assert [got[i] for i in range(9_001)] == pytest.approx(want)
+    # Each exchange of a plan is a job of its own; what counts is that rounds do not follow the games.
+    assert len(set(after) - set(before)) < 80
