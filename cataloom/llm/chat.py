@@ -48,7 +48,8 @@ def fingerprint(paths: Iterator[str] | set[str] | Sequence[str]) -> str:
 
 @dataclass(frozen=True)
 class Mapping:
-    """Where a layout keeps its turns: ``turns`` are (role, path) in order; or ``each`` is a list whose
+    """Where a layout keeps its turns: ``turns`` are (role, path) in order, paths joined by ``+`` make one
+    text of two paragraphs, a null text is an empty turn; or ``each`` is a list whose
     items hold role and text at ``role`` and ``text``, with ``roles`` renaming roles."""
 
     paths: tuple[str, ...]
@@ -60,8 +61,7 @@ class Mapping:
 
     def read(self, record: dict) -> list[tuple[str, str]]:
         if self.turns:
-            found = [(role, _at(record, path)) for role, path in self.turns]
-            return [(role, _text(t)) for role, t in found if t is not None]
+            return [(role, "\n\n".join(filter(None, (_text(_at(record, p)) for p in path.split("+"))))) for role, path in self.turns]
         items = _at(record, self.each) if self.each else [record]
         names = dict(self.roles)
         return [(names.get(r := _text(_at(x, self.role)), r), _text(_at(x, self.text))) for x in items or []]
@@ -89,7 +89,7 @@ MAPPINGS: Sequence[Mapping] = (
     Mapping(("system", "prompt", "response"), (("system", "system"), ("user", "prompt"), (ASSISTANT, "response"))),
     Mapping(("question", "answer"), (("user", "question"), (ASSISTANT, "answer"))),
     Mapping(("instruction", "output"), (("user", "instruction"), (ASSISTANT, "output"))),
-    Mapping(("instruction", "input", "output"), (("system", "instruction"), ("user", "input"), (ASSISTANT, "output"))),
+    Mapping(("instruction", "input", "output"), (("user", "instruction+input"), (ASSISTANT, "output"))),
     Mapping(("role", "content"), roles=OTHER_NAMES),
     Mapping(("message.role", "message.content"), role="message.role", text="message.content"),
     Mapping(("messages[].role", "messages[].content"), each="messages", roles=OTHER_NAMES),
@@ -190,21 +190,21 @@ def formatted(records: DataFrame, id_column: str, order: str, record: str = "rec
 
 
 def digests(turns: DataFrame, id_column: str, order: str, template: Template = TEMPLATE) -> DataFrame:
-    """(id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from the
-    formatted turns of each conversation in order.
+    """(id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_problems), read back from
+    the formatted turns of each conversation in order.
 
-    A task reads its conversations turn by turn and holds no more than one.
+    Records with a problem are counted and give no turn; a conversation of such records only has a row.  A task reads its conversations turn by turn and holds no more than one.
     """
     kind = turns.schema[id_column].dataType.simpleString()
-    rows = small_batches(turns.filter("problem is null").select(F.col(id_column).alias("id"), F.col(order).alias("place"), "record_hash", "turn_no", "formatted", "loss_begin", "loss_end"))
+    rows = small_batches(turns.select(F.col(id_column).alias("id"), F.col(order).alias("place"), "record_hash", "turn_no", "formatted", "loss_begin", "loss_end"))
     rows = rows.repartition("id").sortWithinPartitions("id", "place", "record_hash", "turn_no").select("id", "formatted", "loss_begin", "loss_end")
-    names = [id_column, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = [id_column, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_problems"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = None, None
 
         def closed() -> tuple:
-            return (current, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])
+            return (current, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5])
 
         for batch in batches:
             done = []
@@ -212,7 +212,10 @@ def digests(turns: DataFrame, id_column: str, order: str, template: Template = T
                 if state is None or name != current:
                     if state is not None:
                         done.append(closed())
-                    current, state = name, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    current, state = name, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                if piece is None:
+                    state[5] += 1
+                    continue
                 role, text = template.read(piece)
                 lost = template.unescape(piece[begin:end])
                 state[0] += 1
@@ -227,7 +230,7 @@ def digests(turns: DataFrame, id_column: str, order: str, template: Template = T
             yield rows_of([closed()], kind_)
 
     def rows_of(done: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-        types = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        types = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)], names=names)
 
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return rows.mapInArrow(run, f"`{id_column}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_problems long")

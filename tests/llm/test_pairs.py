@@ -158,19 +158,29 @@ def test_rows_without_any_id(spark):
 
 
 def brute_contained(docs, items):
-    def shingles(text):
-        words = (text or "").lower().encode().translate(decontaminate.CUT).split()
-        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    def words(text):
+        spaced = "".join(f" {c} " if "\u0e00" <= c <= "\u0eff" or "\u3040" <= c <= "\u30ff" or "\u3400" <= c <= "\u9fff" else c for c in (text or "").lower())
+        return spaced.encode().translate(decontaminate.CUT).split()
 
-    sets = [(i, shingles(t)) for i, t in docs]
-    return sorted({(d, i, len(s & q)) for i, q in ((i, shingles(t)) for i, t in items) if q for d, s in sets if 10 * len(s & q) >= 8 * len(q)}, key=str)
+    def shingles(own, n):
+        return {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if n else set()
+
+    out = set()
+    split = [(d, words(t)) for d, t in docs]
+    for i, t in items:
+        own = words(t)
+        n = min(5, len(own))
+        q = shingles(own, n)
+        out |= {(d, i, len(s)) for d, w in split if q and 10 * len(s := shingles(w, n) & q) >= 8 * len(q)}
+    return sorted(out, key=str)
 
 
 def test_contained_items_are_those_of_all_pairs(spark, documents):
     pick = random.Random(6)
     words = [f"w{i}" for i in range(400)]
     items = [(i, " ".join(pick.choices(words, k=pick.randrange(3, 60)))) for i in range(60)] + [(60, None), (61, ""), (62, "Same Words, again and AGAIN here!"), (62, "same words again and again here")]
-    docs = []
+    items += [(63, "four words only here"), (64, "Alone"), (65, "日本語の短い文章です。"), (66, "漢字"), (67, "!!"), (68, "ภาษาไทยไม่มีช่องว่าง")]
+    docs = [(900, "x 日本語の短い文章です y"), (901, "before four words only here"), (902, "漢字alone"), (903, "alone, 日本語"), (904, "กภาษาไทยไม่มีช่องว่างข")]
     for d in range(300):
         parts = []
         for _ in range(pick.randrange(4)):
@@ -198,6 +208,13 @@ def test_common_minimum_is_missed_rarely():
     assert missed == 0
 
 
+def test_the_filter_grows_with_the_items(spark):
+    for n, bits in ((10, 22), (1 << 20, 24)):
+        signed = spark.range(n).select(F.xxhash64("id").alias("shingle_hash"))
+        got, marks = decontaminate._sieve(signed)
+        assert got in (bits, bits + 1) and len(marks) == 1 << (got - 3)
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, "same text here for two rows"), (2, None)], "item_id long, text string")
     got = decontaminate.contained(odd, items).select("doc_id", "item_id").collect()

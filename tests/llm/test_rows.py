@@ -165,7 +165,7 @@ def test_layouts_become_turns(spark):
         got[r["conv_id"]].append((r["role"], r["text"]) if r["problem"] is None else r["problem"])
     assert got == {
         0: [("user", "q"), ("assistant", "a")],
-        1: [("system", "do"), ("user", "x"), ("assistant", "y")],
+        1: [("user", "do\n\nx"), ("assistant", "y")],
         2: [("user", "q"), ("assistant", "")],
         3: [("user", "q"), ("assistant", "a")],
         4: ["unknown layout"],
@@ -174,6 +174,18 @@ def test_layouts_become_turns(spark):
     assert chat.field_paths({"a": {"b": [1, {"c": 2}]}, "d": [], "e": {}}) == {"a.b[]", "a.b[].c", "d[]", "e"}
 
 
+def test_null_fields_are_empty_turns_and_problems_are_counted(spark):
+    records = [(1, '{"prompt": null}'), (2, '{"prompt": null, "completion": "x"}'), (3, '{"what": 1}'), (4, '{"prompt": "q"}'), (4, "no JSON"), (4, '{"completion": "a"}'), (5, '{"instruction": "do", "input": null, "output": ""}')]
+    rows = spark.createDataFrame([(c, t, r) for t, (c, r) in enumerate(records)], "conv_id long, turn long, record string")
+    made = chat.formatted(rows, "conv_id", "turn")
+    turns = defaultdict(list)
+    for r in made.filter("problem is null").orderBy("turn", "turn_no").collect():
+        turns[r["conv_id"]].append((r["role"], r["text"]))
+    assert turns == {1: [("user", "")], 2: [("user", ""), ("assistant", "x")], 4: [("user", "q"), ("assistant", "a")], 5: [("user", "do"), ("assistant", "")]}
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"], r["n_problems"]) for r in chat.digests(made, "conv_id", "turn").collect()}
+    assert got == {1: (1, 0, 0), 2: (2, 1, 0), 3: (0, 0, 1), 4: (2, 1, 1), 5: (2, 0, 0)}
+
+
 def digest_rows(turns):
     out = {}
     for conv in {t[0] for t in turns}:
