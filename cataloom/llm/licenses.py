@@ -16,6 +16,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import bisect
+import heapq
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, whole
 
 THRESHOLD = 0.8
+# Begins of passages that are compared at once; with the longest template this bounds the memory.
+BEGINS = 256
 CUT = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
 BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
@@ -103,25 +106,36 @@ class Found:
     end: int  # behind the last word
 
 
+@dataclass(frozen=True)
+class Template:
+    """A template's distinct bigrams, sorted, with their counts, and the sizes of passages that can reach the threshold."""
+
+    name: str
+    grams: np.ndarray
+    counts: np.ndarray
+    size: int
+    least: int
+    most: int
+
+
 class Scanner:
     """Templates, prepared for the scan of many texts."""
 
     def __init__(self, templates: Mapping[str, str], threshold: float = THRESHOLD):
         self.threshold = threshold
         self.numbers: dict[bytes, int] = {}
-        self.templates: list[tuple[str, Counter, int, int, int]] = []
+        self.templates: list[Template] = []
         shrink = threshold / (2 - threshold)
-        holders: dict[int, list[int]] = {}
         for name, text in sorted(templates.items()):
             ids = [self.numbers.setdefault(w, len(self.numbers)) for w in words_of(text)]
             grams = Counter(a << 32 | b for a, b in zip(ids, ids[1:], strict=False))
             if size := grams.total():
-                for gram in grams:
-                    holders.setdefault(gram, []).append(len(self.templates))
-                least = -int(-(size * shrink - 1e-9) // 1)
-                self.templates.append((name, grams, size, max(1, least), int(size / shrink + 1e-9)))
-        self.holders = holders
-        self.known = np.array(sorted(holders), np.int64)
+                least = max(1, -int(-(size * shrink - 1e-9) // 1))
+                known = np.array(sorted(grams), np.int64)
+                counts = np.array([grams[g] for g in known.tolist()], np.int64)
+                self.templates.append(Template(name, known, counts, size, least, int(size / shrink + 1e-9)))
+        self.known = np.unique(np.concatenate([np.empty(0, np.int64), *(t.grams for t in self.templates)]))
+        self.members = [np.isin(self.known, t.grams) for t in self.templates]
 
     def scan(self, text: str) -> list[Found]:
         words = words_of(text)
@@ -130,45 +144,96 @@ class Scanner:
         if len(ids) < 2 or not len(self.known):
             return []
         grams = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] << 32 | ids[1:], -1)
-        places = np.flatnonzero(np.isin(grams, self.known))
-        at: dict[int, list[int]] = {}
-        for place, gram in zip(places.tolist(), grams[places].tolist(), strict=True):
-            for t in self.holders[gram]:
-                at.setdefault(t, []).append(place)
-        found = [one for t, hits in at.items() for one in self._passages(t, hits, grams)]
-        return _best(found)
-
-    def _passages(self, t: int, hits: list[int], grams: np.ndarray) -> Iterator[Found]:
-        name, wanted, size, least, most = self.templates[t]
-        for i, begin in enumerate(hits):
-            stop = bisect.bisect_left(hits, begin + most)
-            if stop - i < least:
-                continue
-            left, common = dict(wanted), 0
-            best = 0.0
-            for j in range(i, stop):
-                gram = int(grams[hits[j]])
-                if left[gram] > 0:
-                    left[gram] -= 1
-                    common += 1
-                n = hits[j] - begin + 1
-                dice = 2 * common / (n + size)
-                # A longer passage of a lower Dice is never needed; a shorter one is, when the best overlaps another.
-                if n >= least and dice >= max(best, self.threshold):
-                    best = dice
-                    yield Found(dice, n, name, begin, begin + n + 1)
-
-
-def _best(found: list[Found]) -> list[Found]:
-    """The best of overlapping passages, in the order of the text."""
+        at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        places = np.flatnonzero(self.known[at] == grams)
+        at = at[places]
+        around = []
+        for template, member in zip(self.templates, self.members, strict=True):
+            if len(places) >= template.least and len(hits := places[member[at]]) >= template.least:
+                around.append(Passages(template, hits, grams[hits], self.threshold))
+        return _best(around)
+
+
+class Passages:
+    """The passages of a text that begin and end with a bigram of one template."""
+
+    def __init__(self, template: Template, hits: np.ndarray, grams: np.ndarray, threshold: float):
+        self.template, self.hits, self.threshold = template, hits, threshold
+        # The n-th hit counts in a passage unless as many equal ones as the template has stand before it
+        # there, so only if the passage begins behind the hit ``earlier[n]``.
+        order = np.argsort(grams, kind="stable")
+        ranked = grams[order]
+        wanted = template.counts[np.searchsorted(template.grams, ranked)]
+        back = np.arange(len(hits)) - wanted
+        known = (back >= 0) & (ranked[np.maximum(back, 0)] == ranked)
+        self.earlier = np.full(len(hits), -1, np.int64)
+        self.earlier[order[known]] = order[back[known]]
+
+    def first(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begins (as numbers of hits) of all passages that reach the threshold, with Dice and size of the best one."""
+        stops = np.searchsorted(self.hits, self.hits + self.template.most)
+        begins = np.flatnonzero(stops - np.arange(len(stops)) >= self.template.least)
+        parts = [self.best(begins[i : i + BEGINS], stops[begins[i : i + BEGINS]]) for i in range(0, len(begins), BEGINS)]
+        dice, size = (np.concatenate([np.empty(0, kind), *(p[n] for p in parts)]) for n, kind in enumerate((float, np.int64)))
+        good = dice >= self.threshold
+        return begins[good], dice[good], size[good]
+
+    def before(self, begin: int, limit: int) -> tuple[float, int] | None:
+        """Dice and size of the best passage from ``begin`` that ends at the word ``limit`` or earlier."""
+        stop = int(np.searchsorted(self.hits, min(limit - 1, self.hits[begin] + self.template.most)))
+        if stop - begin < self.template.least:
+            return None
+        dice, size = self.best(np.array([begin]), np.array([stop]))
+        return (float(dice[0]), int(size[0])) if dice[0] >= self.threshold else None
+
+    def best(self, begins: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The highest Dice from each begin to a hit before its stop, and the most bigrams that have it."""
+        rows = begins[:, None]
+        ends = rows + np.arange((stops - begins).max())
+        inside = ends < stops[:, None]
+        ends = np.minimum(ends, len(self.hits) - 1)
+        common = np.cumsum(inside & (self.earlier[ends] < rows), axis=1)
+        sizes = self.hits[ends] - self.hits[rows] + 1
+        dice = np.where(inside & (sizes >= self.template.least), 2 * common / (sizes + self.template.size), 0.0)
+        last = dice.shape[1] - 1 - np.argmax(dice[:, ::-1], axis=1)
+        each = np.arange(len(begins))
+        return dice[each, last], sizes[each, last]
+
+
+def _best(around: list[Passages]) -> list[Found]:
+    """The best of overlapping passages, in the order of the text.
+
+    Each begin offers its best passage; when that one runs into a better passage behind it, the begin offers
+    its best one that ends before.  So no text needs more than one offer for each template and bigram.
+    """
+    firsts = [p.first() for p in around]
+    if not any(len(f[0]) for f in firsts):
+        return []
+    begin, dice, size = (np.concatenate(c) for c in zip(*firsts, strict=True))
+    number = np.repeat(np.arange(len(around)), [len(f[0]) for f in firsts])
+    order = np.lexsort((begin, number, -size, -dice))
+    offers = ((-float(dice[k]), -int(size[k]), int(number[k]), int(begin[k])) for k in order)
+    later: list[tuple[float, int, int, int]] = []
     taken: list[tuple[int, int]] = []
     out = []
-    for one in sorted(found, key=lambda f: (-f.dice, -f.size, f.template, f.begin)):
-        i = bisect.bisect_left(taken, (one.begin, one.end))
-        if (i and taken[i - 1][1] > one.begin) or (i < len(taken) and taken[i][0] < one.end):
+    offer = next(offers, None)
+    while offer or later:
+        if later and (offer is None or later[0] < offer):
+            one = heapq.heappop(later)
+        else:
+            one, offer = offer, next(offers, None)
+        passages, n = around[one[2]], -one[1]
+        start = int(passages.hits[one[3]])
+        end = start + n + 1
+        i = bisect.bisect_left(taken, (start, end))
+        if i and taken[i - 1][1] > start:
+            continue
+        if i < len(taken) and taken[i][0] < end:
+            if shorter := passages.before(one[3], taken[i][0]):
+                heapq.heappush(later, (-shorter[0], -shorter[1], *one[2:]))
             continue
-        taken.insert(i, (one.begin, one.end))
-        out.append(one)
+        taken.insert(i, (start, end))
+        out.append(Found(-one[0], n, passages.template.name, start, end))
     return sorted(out, key=lambda f: f.begin)
 
 

@@ -206,6 +206,27 @@ def test_licenses_are_those_of_all_passages(spark):
     assert len(got) > 60
 
 
+def test_repeated_licenses_in_one_text():
+    """A file of many notices, whole and cut at their ends, costs its length; each notice is found once."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    names = ["bsd-3-clause", "mit", "bsd-2-clause"]
+    text = "\n".join(licenses.TEMPLATES[names[i % 3]] for i in range(200))
+    found = scanner.scan(text)
+    assert [f.template for f in found] == [names[i % 3] for i in range(200)] and all(f.dice == 1 for f in found)
+    million = scanner.scan("\n".join([licenses.TEMPLATES["bsd-3-clause"]] * 700))
+    assert [(f.template, f.dice) for f in million] == [("bsd-3-clause", 1.0)] * 700
+
+
+def test_overlapping_passages_give_way_to_better_ones():
+    """Passages that run into a better one are cut before it, as when all passages are compared."""
+    pick = random.Random(11)
+    for _ in range(150):
+        templates = {n: " ".join(pick.choices("abc", k=pick.randrange(3, 9))) for n in ("one", "two", "three")}
+        text = " ".join(pick.choices("abcd", k=60))
+        got = [(f.template, f.begin, f.end - f.begin, round(f.dice, 9)) for f in licenses.Scanner(templates, 0.6).scan(text)]
+        assert sorted(got) == sorted(brute_licenses(text, templates, 0.6)), (text, templates)
+
+
 def test_licenses_odd_rows(spark, odd, empty):
     assert licenses.scanned(odd).count() == 0 and licenses.scanned(empty).count() == 0
     long_ = "foo bar. " * 2000 + licenses.TEMPLATES["mit"].replace(" ", "\n") + " the software is" * 2000
