@@ -9,9 +9,10 @@ complete them, and reported only if one is there:
     identifier needs a secret, strong or weak;  endpoint needs a secret, strong or weak;
     weak secret needs an identifier, an access key id or an endpoint
 
-The join runs on cells of ``reach`` characters: of each cell only the first and the last start of a
-role are kept, which decide exactly whether some part is in reach, so no pairs are made and a text
-full of parts costs its parts.
+A scope lies in one row, so the join of the intervals runs there, over the sorted parts: secrets (strong
+and weak) complete identifiers, keys and endpoints, and the other way round, so a part needs only the
+nearest part of the other side before and behind it.  Two sweeps find these; a text full of parts costs
+its parts, and nothing is shuffled.
 
 All of it is DataFrame functions.  Null texts are empty texts and have no spans; rows of equal texts get
 equal spans, whatever their ids are; repeated rows stay; empty tables give empty tables; further
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans as S
-from .common import text_key, whole
+from .common import whole
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 ACCESS, IDENT, WEAK, ENDPOINT = 1, 3, 4, 5
@@ -41,6 +42,7 @@ REACH = 200
 VALUE = 12
 # What completes a weak candidate, as kinds.
 COMPLEMENT = {IDENT: (0, 2, WEAK), WEAK: (IDENT, ACCESS, ENDPOINT), ENDPOINT: (0, 2, WEAK)}
+SECRETS = COMPLEMENT[IDENT]
 ADDED = ("base_spans", "added_spans", "spans")
 
 
@@ -63,22 +65,36 @@ def weak_spans(text: Column, base: Column) -> Column:
     return S.let(base, lambda b: S.apart(weak, b))
 
 
-def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
-    """(key, base_spans, weak_spans) -> (key, added_): the weak spans that a complement confirms."""
-    rows = parts.select("key", F.explode(F.concat("base_spans", "weak_spans")).alias("s"))
-    cell = F.floor(F.col("s.start") / reach).alias("cell")
-    cells = rows.groupBy("key", F.col("s.kind").alias("role"), cell).agg(F.min("s.start").alias("first"), F.max("s.start").alias("last"))
-    roles = F.when(F.col("s.kind") == IDENT, _literals(COMPLEMENT[IDENT])).when(F.col("s.kind") == WEAK, _literals(COMPLEMENT[WEAK])).otherwise(_literals(COMPLEMENT[ENDPOINT]))
-    near = F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.floor(F.col("s.start") / reach) + i)
-    wanted = rows.filter(F.col("s.kind") >= IDENT).withColumn("role", F.explode(roles)).withColumn("cell", F.explode(near))
-    met = wanted.join(cells, ["key", "role", "cell"])
-    begin = F.col("s.start")
-    in_reach = (F.abs(begin - F.col("first")) <= reach) | (F.abs(begin - F.col("last")) <= reach)
-    return met.filter(in_reach).groupBy("key").agg(F.array_sort(F.collect_set("s")).alias("added_"))
+def _others_before(parts: Column) -> Column:
+    """For each part the start of the last one of the other side before it, null without one."""
 
+    def state(secret: Column, partner: Column, out: Column) -> Column:
+        return F.struct(secret.alias("secret"), partner.alias("partner"), out.alias("out"))
 
-def _literals(kinds: tuple[int, ...]) -> Column:
-    return F.array(*[F.lit(k) for k in kinds])
+    def step(at: Column, part: Column) -> Column:
+        is_secret = part["kind"].isin(*SECRETS)
+        other = F.when(is_secret, at["partner"]).otherwise(at["secret"])
+        secret = F.when(is_secret, part["start"]).otherwise(at["secret"])
+        partner = F.when(is_secret, at["partner"]).otherwise(part["start"])
+        return state(secret, partner, F.concat(at["out"], F.array(other)))
+
+    def block(at: Column, some: Column) -> Column:
+        inner = F.aggregate(some, state(at["secret"], at["partner"], nothing), step)
+        return S.let(inner, lambda i: state(i["secret"], i["partner"], F.concat(at["out"], i["out"])))
+
+    unknown, nothing = F.lit(None).cast("int"), F.array().cast("array<int>")
+    return F.aggregate(S.in_blocks(parts), state(unknown, unknown, nothing), block, lambda at: at["out"])
+
+
+def linked(base: Column, weak: Column, reach: int = REACH) -> Column:
+    """The weak spans that a complement confirms, sorted."""
+
+    def confirmed(parts: Column) -> Column:
+        met = F.arrays_zip(parts.alias("s"), _others_before(parts).alias("before"), F.reverse(_others_before(F.reverse(parts))).alias("behind"))
+        close = F.filter(met, lambda m: (m["s"]["kind"] >= IDENT) & ((m["s"]["start"] - m["before"] <= reach) | (m["behind"] - m["s"]["start"] <= reach)))
+        return F.transform(close, lambda m: m["s"])
+
+    return F.when(F.size(weak) > 0, S.let(F.array_sort(F.concat(base, weak)), confirmed)).otherwise(S.none())
 
 
 def scanned(docs: DataFrame, text: str = "text", reach: int = REACH) -> DataFrame:
@@ -88,11 +104,7 @@ def scanned(docs: DataFrame, text: str = "text", reach: int = REACH) -> DataFram
     """
     if clash := set(ADDED) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are in the way")
-    names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row_"), whole(text).alias("text_")).withColumn("base_spans", base_spans(F.col("text_")))
+    rows = docs.select(F.struct(*docs.columns).alias("row_"), whole(text).alias("text_")).withColumn("base_spans", base_spans(F.col("text_")))
     rows = rows.withColumn("weak_spans", weak_spans(F.col("text_"), F.col("base_spans")))
-    some = rows.filter(F.size("weak_spans") > 0).withColumn("key", text_key(F.col("text_")))
-    found = linked(some.select("key", "base_spans", "weak_spans"), reach)
-    joined = some.join(found, "key", "left").select("row_", "base_spans", F.coalesce("added_", S.none()).alias("added_spans"))
-    without = rows.filter(F.size("weak_spans") == 0).select("row_", "base_spans", S.none().alias("added_spans"))
-    return joined.union(without).select("row_.*", "base_spans", "added_spans", F.array_sort(F.concat("base_spans", "added_spans")).alias("spans"))
+    rows = rows.withColumn("added_spans", linked(F.col("base_spans"), F.col("weak_spans"), reach))
+    return rows.select("row_.*", "base_spans", "added_spans", F.array_sort(F.concat("base_spans", "added_spans")).alias("spans"))

@@ -220,3 +220,23 @@ def test_interval_join_is_that_of_all_pairs(spark):
         some += len(want)
         assert got[r["doc_id"]] == want
     assert some > 20
+
+
+def test_linking_of_many_parts_in_one_text(spark):
+    """Parts over many blocks of a sweep, with ties of nothing but distance, against all pairs; no shuffle."""
+    pick = random.Random(3)
+    kinds = ["login=alice", "Zq8Zq8Zq8Zq8Zq8Zq8Zq8Zq8", "host=db.example.org", "AKIA" + "A" * 16, "0123456789abcdef"]
+    text = " ".join(pick.choice(kinds) + " " + "." * pick.choice([1, 30, 170, 400]) for _ in range(1500))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = secrets.scanned(rows)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = [(s["start"], s["kind"]) for s in found.first()["added_spans"]]
+    base = secrets.base_spans(F.col("text"))
+    parts = rows.select(base.alias("base"), secrets.weak_spans(F.col("text"), base).alias("weak")).first()
+    everything = [*parts["base"], *parts["weak"]]
+    want = [
+        (w["start"], w["kind"])
+        for w in parts["weak"]
+        if any(o["kind"] in secrets.COMPLEMENT[w["kind"]] and abs(o["start"] - w["start"]) <= secrets.REACH for o in everything)
+    ]
+    assert got == sorted(want) and 0 < len(want) < len(parts["weak"])
