@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,33 @@ def nested_qrels(qrels: DataFrame) -> DataFrame:
         F.max("score").alias("best_score"),
         F.sum("score").alias("sum_score"),
     )
+
+
+def score_lists(qrels: DataFrame, block: int = 1000) -> DataFrame:
+    """The lists themselves: topic -> document -> scores in file order, in blocks of ``block``.
+
+    One row ``(topic, document, block_no, scores)`` has the scores at the places ``block_no * block`` and
+    following; a list of any length is its blocks in order, and an empty score is null in
+    its place.  A pair with a third of all lines is numbered inside each split of the files and over the
+    counts of its splits, so no task holds more of it than one split.
+    """
+    if block < 1:
+        raise ValueError("block must be at least 1")
+    rows = qrels.select(
+        F.struct("topic", "document").alias("pair"),  # a struct, so that a null topic meets itself
+        F.col("position.file").alias("file"),
+        F.col("position.start").alias("start"),
+        F.col("position.line").alias("line"),
+        "score",
+    )
+    split = ["pair", "file", "start"]
+    earlier = Window.partitionBy("pair").orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n")).select(
+        *split, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    inside = F.row_number().over(Window.partitionBy(*split).orderBy("line")) - 1
+    placed = rows.withColumn("inside", inside).join(before, split).withColumn("place", F.col("before") + F.col("inside"))
+    blocks = placed.groupBy("pair", F.floor(F.col("place") / block).alias("block_no")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "score"))).alias("scores")
+    )
+    return blocks.select("pair.topic", "pair.document", "block_no", F.col("scores.score").alias("scores"))

@@ -168,6 +168,33 @@ def nested_qrels(spark, folder):
     return qrels.nested_qrels(_landed_qrels(spark, folder)).drop("first_score", "last_score")
 
 
+@query(
+    "qrels_score_lists",
+    """
+WITH q AS (
+  SELECT doc_id, CAST(quality AS VARCHAR) AS topic, CASE WHEN toxic = 1 THEN '' ELSE CAST(doc_id % 3 AS VARCHAR) END AS document,
+    doc_id % 97 AS score
+  FROM labels),
+placed AS (SELECT *, row_number() OVER (PARTITION BY topic, document ORDER BY doc_id) - 1 AS place FROM q)
+SELECT topic, document, CAST(place // 16 AS BIGINT) AS block_no, count(*) AS n_scores,
+  string_agg(CAST(score AS VARCHAR), ',' ORDER BY place) AS scores
+FROM placed GROUP BY ALL""",
+)
+def qrels_score_lists(spark, folder):
+    """Files of ranges of ids, read as lists in line order."""
+    path = scratch_path(spark, "qrels")
+    labels = views.table(spark, folder, "labels").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    name = F.when(F.col("toxic") == 1, F.lit("plain")).otherwise(
+        F.concat(F.lit("docs/"), F.col("doc_id") % 3, F.lit("/part.csv"))
+    )
+    labels.select(
+        F.col("quality").alias("topic"), (F.col("doc_id") % 97).alias("relevance"), name.alias("document"), F.lit("x").alias("rest")
+    ).write.option("header", True).csv(path)
+    lists = qrels.score_lists(qrels.read_qrels(spark, path), 16)
+    whole = F.transform("scores", lambda s: s.cast("int").cast("string"))
+    return lists.select("topic", "document", "block_no", F.size("scores").cast("long").alias("n_scores"), F.array_join(whole, ",").alias("scores"))
+
+
 @query(
     "resume_progress",
     "SELECT CAST(conv_id AS VARCHAR) AS conv_id, count(*) AS turns, max(length(text)) AS longest FROM conversations GROUP BY 1",

@@ -60,6 +60,27 @@ def test_qrels_take_the_second_segment_of_the_path(spark, tmp_path):
     assert (nested["t1", "b"].first_score, nested["t1", "b"].last_score) == (1.5, 2.0)
 
 
+def test_score_lists_keep_the_order_of_lines(spark, tmp_path):
+    want = {}
+    for part in range(3):
+        lines = ["topic,rel,doc,x"]
+        for i in range(40):
+            topic, document, score = ("", "hot", "") if i == 7 else ("t%d" % (i % 2), "hot" if i % 5 else "cold", str(part * 100 - i))
+            lines.append(f"{topic},{score},a/{document}/c,0")
+            want.setdefault((topic or None, document), []).append(float(score) if score else None)
+        (tmp_path / f"{part}.csv").write_text("\n".join(lines) + "\n")
+    rows = qrels.read_qrels(spark, str(tmp_path))
+    got = {}
+    for r in qrels.score_lists(rows, 4).orderBy("block_no").collect():
+        one = got.setdefault((r.topic, r.document), [])
+        assert len(one) == r.block_no * 4 and len(r.scores) <= 4
+        one += r.scores
+    assert got == want
+    assert qrels.score_lists(rows.filter("false")).count() == 0
+    with pytest.raises(ValueError):
+        qrels.score_lists(rows, 0)
+
+
 def test_resume_does_only_what_is_missing(spark, tmp_path):
     path = str(tmp_path / "progress")
     todo = spark.range(10).withColumn("id", F.col("id").cast("string"))
