@@ -212,6 +212,41 @@ def _looks_like_json(content: str) -> bool:
         return False
 
 
+Ask = Callable[[Any, list[str | None]], list[dict[str, Any]]]
+
+
+def _messages(system: str, text: str) -> list[dict[str, str]]:
+    asked = [{"role": "user", "content": text}]
+    return [{"role": SYSTEM, "content": system}, *asked] if system else asked
+
+
+def _no_answer(error: str) -> dict[str, Any]:
+    row: dict[str, Any] = {n: None for n in schemas.ANSWERS.names}
+    row.update(status="error", error=error, attempts=0)
+    return row
+
+
+def _take(row: dict[str, Any], reply: Any, parse: bool) -> bool:
+    """Enter one attempt's reply, the exception it ended with, or None, into ``row``; true for an answer."""
+    row["attempts"] += 1
+    try:
+        if isinstance(reply, Exception):
+            raise reply
+        if reply is None:
+            raise ValueError("no_answer")
+        content = reply["choices"][0]["message"]["content"]
+    except Exception as problem:  # noqa: BLE001 - a failed call is a row, not a crash
+        row.update(status="error", error=str(problem) or type(problem).__name__)
+        return False
+    for name in ("prompt_tokens", "completion_tokens", "total_tokens"):
+        row[name] = (row[name] or 0) + int((reply.get("usage") or {}).get(name) or 0)
+    if parse and not _looks_like_json(content or ""):
+        row.update(status="error", error="answer_does_not_parse")
+        return False
+    row.update(content=content, status="success", error=None)
+    return True
+
+
 @dataclass(frozen=True)
 class ClientProvider(Provider):
     """Answers from a chat client.
@@ -230,67 +265,98 @@ class ClientProvider(Provider):
     max_tries: int = 3
     must_parse: frozenset[str] = frozenset({"group_semantics", "column_semantics"})
 
-    def _ask(self, task: str) -> Callable[[Any, str | None], dict[str, Any]]:
+    def _ask(self, task: str) -> Ask:
+        """Answers of a client to prompts, in their order."""
         model, heat, tries = self.model, self.temperature, self.max_tries
         system, parse = self.system.get(task, ""), task in self.must_parse
 
         def one(client: Any, text: str | None) -> dict[str, Any]:
-            row: dict[str, Any] = {n: None for n in schemas.ANSWERS.names}
-            row.update(status="error", error="no_prompt", attempts=0)
-            if text is None:
-                return row
-            tokens = {"prompt_tokens": 0, "completion_tokens": 0, "total_tokens": 0}
-            messages = [{"role": "user", "content": text}]
-            if system:
-                messages.insert(0, {"role": SYSTEM, "content": system})
-            for attempt in range(1, tries + 1):
-                row["attempts"] = attempt
+            row = _no_answer("no_prompt")
+            for _ in range(0 if text is None else tries):
                 try:
                     reply = client.chat_completions_create(
-                        model=model, messages=messages, temperature=heat
+                        model=model, messages=_messages(system, text), temperature=heat
                     )
-                    content = reply["choices"][0]["message"]["content"]
                 except Exception as problem:  # noqa: BLE001 - a failed call is a row, not a crash
-                    row.update(status="error", error=str(problem) or type(problem).__name__)
-                    continue
-                for name in tokens:
-                    tokens[name] += int((reply.get("usage") or {}).get(name) or 0)
-                row.update(tokens)
-                if not parse or _looks_like_json(content or ""):
-                    row.update(content=content, status="success", error=None)
+                    reply = problem
+                if _take(row, reply, parse):
                     break
-                row.update(status="error", error="answer_does_not_parse")
             return row
 
-        return one
+        return lambda client, texts: [one(client, text) for text in texts]
 
     def column(self, task: str, prompt: Column, context: dict[str, Column]) -> Column:
-        make, one = self.make_client, self._ask(task)
+        make, answers = self.make_client, self._ask(task)
 
         def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             client = make()
             for batch in batches:
-                yield pd.DataFrame(
-                    [one(client, text) for text in batch], columns=schemas.ANSWERS.names
-                )
+                yield pd.DataFrame(answers(client, list(batch)), columns=schemas.ANSWERS.names)
 
         ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
         return F.pandas_udf(ask, schemas.ANSWERS).asNondeterministic()(prompt)
 
     def columns(self, task: str, prompts: Column, context: dict[str, Column]) -> Column:
-        make, one = self.make_client, self._ask(task)
+        make, answers = self.make_client, self._ask(task)
 
         def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             client = make()
             for batch in batches:
+                given = iter(answers(client, [text for x in batch if x is not None for text in x]))
                 yield pd.Series(
-                    [None if x is None else [one(client, text) for text in x] for x in batch],
-                    dtype=object,
+                    [None if x is None else [next(given) for _ in x] for x in batch], dtype=object
                 )
 
         ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-        answers = F.pandas_udf(ask, T.ArrayType(schemas.ANSWERS)).asNondeterministic()
-        return answers(prompts)
+        found = F.pandas_udf(ask, T.ArrayType(schemas.ANSWERS)).asNondeterministic()
+        return found(prompts)
+
+
+@dataclass(frozen=True)
+class BatchProvider(ClientProvider):
+    """Answers from a client that takes several prompts in one call.
+
+    The client has ``chat_completions_create_batch(model, messages_list, temperature) -> list[dict]``,
+    one reply for each list of messages, in their order.  ``batch_size`` prompts are sent together, over
+    the bounds of rows.  Replies belong to prompts by place: a prompt without a reply (a short list, a null
+    in it) or with one that does not parse is sent again, with others like it, up to ``max_tries`` times, and
+    ends as an error row; replies beyond the prompts are ignored.
+    """
+
+    batch_size: int = 4
+
+    def _ask(self, task: str) -> Ask:
+        if self.batch_size < 1:
+            raise ValueError("batch_size must be at least 1")
+        model, heat, tries, size = self.model, self.temperature, self.max_tries, self.batch_size
+        system, parse = self.system.get(task, ""), task in self.must_parse
+
+        def call(client: Any, texts: list[str]) -> list[Any]:
+            try:
+                replies = list(
+                    client.chat_completions_create_batch(
+                        model=model,
+                        messages_list=[_messages(system, text) for text in texts],
+                        temperature=heat,
+                    )
+                )
+            except Exception as problem:  # noqa: BLE001 - a failed call is rows, not a crash
+                return [problem] * len(texts)
+            return replies[: len(texts)] + [None] * (len(texts) - len(replies))
+
+        def answers(client: Any, texts: list[str | None]) -> list[dict[str, Any]]:
+            rows = [_no_answer("no_prompt") for _ in texts]
+            waiting = [i for i, text in enumerate(texts) if text is not None]
+            for _ in range(tries):
+                again = []
+                for begin in range(0, len(waiting), size):
+                    sent = waiting[begin : begin + size]
+                    replies = call(client, [texts[i] for i in sent])
+                    again += [i for i, reply in zip(sent, replies, strict=True) if not _take(rows[i], reply, parse)]
+                waiting = again
+            return rows
+
+        return answers
 
 
 def complete(

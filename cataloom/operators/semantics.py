@@ -78,6 +78,19 @@ def batch_prompts(df: DataFrame, batch_size: int = 4, k: int = 5) -> DataFrame:
     )
 
 
+def align_answers(asked: DataFrame, replies: DataFrame) -> DataFrame:
+    """Add ``answer`` and ``status`` to batched prompts, from one row of replies per batch.
+
+    ``replies`` is ``(dataset_id, batch_no, answers)``; answers belong to prompts by place.  A prompt without
+    one, in a short list or a batch without replies, has a null answer and the status ``no_answer``.
+    """
+    given = asked.join(replies.select("dataset_id", "batch_no", "answers"), ["dataset_id", "batch_no"], "left")
+    answer = F.get("answers", F.col("place").cast("int"))
+    return given.select(*asked.columns, answer.alias("answer")).withColumn(
+        "status", F.when(F.col("answer").isNotNull(), "success").otherwise("no_answer")
+    )
+
+
 def is_json(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text).isNotNull(), F.lit(False))
 

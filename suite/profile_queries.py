@@ -242,6 +242,26 @@ def batch_prompts(spark, folder):
     return semantics.batch_prompts(_records(spark, folder), 4)
 
 
+@query(
+    "batch_answers",
+    "WITH "
+    + VALUES_SQL
+    + """, sent AS (SELECT dataset_id, col_no // 4 AS batch_no, col_no % 4 AS place, col_name,
+    count(*) OVER (PARTITION BY dataset_id, col_no // 4) AS n FROM vals)
+SELECT dataset_id, CAST(batch_no AS BIGINT) AS batch_no, place, col_name,
+  CASE WHEN place = n - 1 AND n > 1 THEN NULL ELSE 'about ' || col_name END AS answer,
+  CASE WHEN place = n - 1 AND n > 1 THEN 'no_answer' ELSE 'success' END AS status
+FROM sent""",
+)
+def batch_answers(spark, folder):
+    """Replies by batch, the last of several missing, aligned with their prompts by place."""
+    asked = semantics.batch_prompts(_records(spark, folder), 4)
+    told = asked.groupBy("dataset_id", "batch_no").agg(F.array_sort(F.collect_list(F.struct("place", "col_name"))).alias("told"))
+    short = F.slice("told", F.lit(1), F.greatest(F.size("told") - 1, F.lit(1)))
+    replies = told.withColumn("answers", F.transform(short, lambda t: F.concat(F.lit("about "), t["col_name"])))
+    return semantics.align_answers(asked, replies).drop("prompt")
+
+
 # Answers as a model might write them, made from events: text around the object, a missing
 # brace, a comma too many, No in words, no object at all.
 def _answer_text():

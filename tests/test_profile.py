@@ -282,6 +282,53 @@ def test_dates_as_portals_write_them(spark):
         assert (r.data_type, r.first_time and r.first_time.replace(tzinfo=None), r.last_time and r.last_time.replace(tzinfo=None)) == ("datetime" if first else "text", first, last), name
 
 
+class Batches:
+    """Answers several prompts at once: loses the last of three, fails on some, and counts its calls."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def chat_completions_create_batch(self, model, messages_list, temperature=0.0):
+        self.calls += 1
+        texts = [m[-1]["content"] for m in messages_list]
+        if "boom" in texts:
+            raise RuntimeError("service down")
+        replies = [{"choices": [{"message": {"content": f"{t} of {len(texts)} in call {self.calls}"}}], "usage": {"total_tokens": 2}} for t in texts]
+        return replies[:2] if len(replies) == 3 else [*replies, {"choices": []}]
+
+
+def test_batched_calls_are_aligned_by_place(spark):
+    provider = complete.BatchProvider(Batches, "m", max_tries=2, batch_size=3)
+    rows = [(1, ["a", "b"]), (2, None), (3, ["c", None, "d"]), (4, []), (5, ["e"])]
+    df = spark.createDataFrame(rows, "id int, p array<string>").coalesce(1)
+    got = {r.id: r.answer for r in df.withColumn("answer", provider.columns("topic", F.col("p"), {})).collect()}
+    told = {i: None if a is None else [(x.content, x.attempts, x.status, x.total_tokens) for x in a] for i, a in got.items()}
+    assert told == {
+        1: [("a of 3 in call 1", 1, "success", 2), ("b of 3 in call 1", 1, "success", 2)],
+        2: None,
+        3: [("c of 1 in call 3", 2, "success", 2), (None, 0, "error", None), ("d of 2 in call 2", 1, "success", 2)],
+        4: [],
+        5: [("e of 2 in call 2", 1, "success", 2)],
+    }
+    df = spark.createDataFrame([("boom",), ("x",), (None,), ("y",), ("z",)], "p string").coalesce(1)
+    one = complete.BatchProvider(Batches, "m", max_tries=1, batch_size=2)
+    found = [r.answer for r in complete.complete(df, "topic", F.col("p"), one).collect()]
+    assert [(a.status, a.error) for a in found] == [
+        ("error", "service down"), ("error", "service down"), ("error", "no_prompt"), ("success", None), ("success", None)
+    ]
+    short = complete.complete(df.filter("p in ('x', 'y', 'z')"), "topic", F.col("p"), complete.BatchProvider(Batches, "m", max_tries=1, batch_size=3))
+    assert [r.answer.error for r in short.collect()] == [None, None, "no_answer"]
+    with pytest.raises(ValueError):
+        complete.complete(df, "topic", F.col("p"), complete.BatchProvider(Batches, "m", batch_size=0))
+
+
+def test_replies_are_aligned_by_place(spark):
+    asked = spark.createDataFrame([("a", 0, i, f"c{i}") for i in range(3)] + [("b", 0, 0, "c")], "dataset_id string, batch_no long, place int, col_name string")
+    replies = spark.createDataFrame([("a", 0, ["x", "y"])], "dataset_id string, batch_no long, answers array<string>")
+    got = sorted((r.dataset_id, r.place, r.answer, r.status) for r in semantics.align_answers(asked, replies).fillna("-").collect())
+    assert got == [("a", 0, "x", "success"), ("a", 1, "y", "success"), ("a", 2, "-", "no_answer"), ("b", 0, "-", "no_answer")]
+
+
 class ColumnClient:
     """Answers each kind of question with what it was asked about."""
 
