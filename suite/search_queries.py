@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cataloom.functions.text import tokenise
+from cataloom.functions.text import tokenise, words
 from cataloom.functions.vectors import cosine_dense as cosine_dense_of
 from cataloom.operators import prepare, ranking, retrieval, similarity, vectors
 
-from . import views
+from . import views, word_sql
 from .registry import query, text_literal
 
 # --- text similarity ----------------------------------------------------------------------
@@ -51,7 +51,7 @@ def rouge2(spark, folder):
     return similarity.rouge_n(pairs, 2).select("pair_id", F.round("rouge2", 6).alias("score"))
 
 
-@query("rouge_stemmed")
+@query("rouge_stemmed", word_sql.ROUGE_STEMMED_SQL)
 def rouge_stemmed(spark, folder):
     pairs = views.score_pairs(views.text_pairs(spark, folder))
     scored = similarity.rouge_n(similarity.rouge_n(pairs, 1, stemmed=True), 2, stemmed=True)
@@ -94,12 +94,21 @@ def rouge_l(spark, folder):
     return similarity.rouge_l(pairs).select("pair_id", F.round("rougeL", 6).alias("score"))
 
 
-@query("meteor")
+@query("meteor", word_sql.METEOR_SQL)
 def meteor(spark, folder):
     pairs = views.score_pairs(views.text_pairs(spark, folder))
     return similarity.meteor(pairs).select("pair_id", F.round("meteor", 6).alias("score"))
 
 
+@query("meteor_synonyms", word_sql.METEOR_SYNONYMS_SQL)
+def meteor_synonyms(spark, folder):
+    """METEOR with its third stage; words that begin alike are taken for synonyms."""
+    pairs = views.score_pairs(views.text_pairs(spark, folder))
+    terms = F.explode(F.array_union(words("reference"), words("candidate")))
+    synsets = pairs.select(terms.alias("term")).distinct().withColumn("synset", F.left("term", F.lit(2)))
+    return similarity.meteor(pairs, synsets).select("pair_id", F.round("meteor", 6).alias("score"))
+
+
 @query(
     "similarity_report",
     _rouge_sql(1)
@@ -115,7 +124,7 @@ def similarity_report(spark, folder):
     return report.withColumn("mean_score", F.round("mean_score", 6))
 
 
-@query("similarity_report_all")
+@query("similarity_report_all", word_sql.REPORT_SQL)
 def similarity_report_all(spark, folder):
     """Four stemmed metrics of user texts and, as search text, the answer with its title."""
     pairs = prepare.comparable_pairs(views.text_pairs(spark, folder))

@@ -3,13 +3,16 @@
 import math
 import random
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cataloom.functions.stem import stem
+from cataloom.functions.stem import STEP_2, STEP_3, STEP_4, stem
 from cataloom.functions.text import runs
 from cataloom.operators import joins, ranking, retrieval, similarity, vectors
+from suite import word_sql
 
 WORDS = "the a data city bus tram ride count rate of in zoo".split()
 
@@ -320,3 +323,23 @@ def test_stored_search_reads_few_blocks_and_finds_what_full_scoring_finds(spark,
     index.drop()
     with pytest.raises(Exception):
         index.vocabulary.count()
+
+
+def test_stems_and_scores_in_sql(spark):
+    """The checking SQL against the helpers, word by word and pair by pair."""
+    draw = random.Random(5)
+    ends = ["", "s", "sses", "ies", "eed", "ed", "ing", "y", "e", "ll", "ion", "tion", *STEP_2, *STEP_3, *STEP_4]
+    words = sorted({"".join(draw.choices("aeioubtlszywxrn", k=draw.randint(0, 6))) + draw.choice(ends) for _ in range(6000)} - {""})
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame({"term": words}))
+    got = dict(con.execute(f"WITH {word_sql.stems_sql('given')} SELECT term, stem FROM stems").fetchall())
+    assert {w: got[w] for w in words} == {w: stem(w) for w in words}
+
+    few = ["run", "running", "runs", "dog", "dogs", "a", "the", "thesis"]
+    rows = [(i, " ".join(draw.choices(few, k=draw.randint(0, 12))), " ".join(draw.choices(few, k=draw.randint(0, 12)))) for i in range(300)]
+    con.register("pairs", pd.DataFrame(rows, columns=["pair_id", "reference", "candidate"]))
+    for synset in (None, word_sql.SYNSET):
+        groups = {w: {w[:2]} for w in few} if synset else None
+        scores = dict(con.execute(f"WITH {word_sql.meteor_sql(synset)} SELECT pair_id, score FROM meteor_scores").fetchall())
+        for i, a, b in rows:
+            assert scores[i] == pytest.approx(similarity.meteor_score(a.split(), b.split(), groups)), (a, b)
