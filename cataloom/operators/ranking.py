@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import has_text
 from .joins import top_ranked
-from .retrieval import bm25_scores, relevance_lists, store_index, top_k
+from .retrieval import bm25_scores, relevance_lists, scan_index, top_k
 
 
 def gain_exp(rel: Column, rank: Column) -> Column:
@@ -53,7 +53,7 @@ def ndcg_linear_at_ks(documents: DataFrame, queries: DataFrame, ks: list[int]) -
     value is null when nothing is relevant.
     """
     size = max(ks)
-    index = store_index(documents, "words")
+    index = scan_index(documents, "words")
     ranked = top_k(bm25_scores(index, queries, zero_fill=size), size)
     lists = relevance_lists(ranked, documents, size)
     rel, ideal = (

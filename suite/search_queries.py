@@ -282,6 +282,19 @@ def tfidf_top10(spark, folder):
     )
 
 
+@query("bm25_stored_index", _search_sql(BM25_SQL, MARKS_SQL) + TOP_SQL)
+def bm25_stored_index(spark, folder):
+    """The same lists from an index that is clustered by term."""
+    index = retrieval.store_index(_documents(spark, folder))
+    return _top(retrieval.search(index, views.search_queries(spark, folder), "BM25"))
+
+
+@query("tfidf_stored_index", _search_sql(TFIDF_SQL, TERMS_SQL) + TOP_SQL)
+def tfidf_stored_index(spark, folder):
+    index = retrieval.store_index(_documents(spark, folder), retrieval.VECTORISER)
+    return _top(retrieval.search(index, views.search_queries(spark, folder), "TFIDF"))
+
+
 @query(
     "bm25_zero_fill",
     "WITH "
