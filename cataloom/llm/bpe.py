@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole
+from .common import sliced, whole
 
 SLICE_CHARS = 2_000_000
 # All steps of a slice's recursion are held, so a word costs its length squared.
@@ -230,14 +230,14 @@ def _slices(texts: Iterator[str]) -> Iterator[list[str]]:
 
 def _over(docs: DataFrame, id_column: str, text: str, vocabulary: str, pattern: str, schema: str, columns: Callable[[Codec, list[str]], list[pa.Array]]) -> DataFrame:
     """Run ``columns`` over slices of texts, behind the id of each row."""
-    docs = small_batches(docs.select(F.col(id_column), whole(text).alias("text")))
+    docs = docs.select(F.col(id_column), whole(text).alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
     names = [id_column, *(part.split()[0] for part in schema.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
-        for batch in batches:
+        for batch in sliced(batches):
             codec = codec or Codec(ranks.value, pattern)
             done = 0
             for part in _slices(t.as_py() for t in batch.column(1)):

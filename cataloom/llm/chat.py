@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import sliced
 
 ASSISTANT = "assistant"
 
@@ -155,7 +155,7 @@ def formatted(records: DataFrame, id_column: str, order: str, record: str = "rec
     ``turn_no`` counts the turns of one record.  A record that is no JSON object or whose layout is
     unknown gives one row with a ``problem`` and no turn.
     """
-    rows = small_batches(records.select(F.col(id_column).alias("id"), F.col(order).alias("place"), F.col(record).alias("record"), F.xxhash64(record).alias("record_hash")))
+    rows = records.select(F.col(id_column).alias("id"), F.col(order).alias("place"), F.col(record).alias("record"), F.xxhash64(record).alias("record_hash"))
     known = by_fingerprint(mappings)
     kinds = [rows.schema[c].dataType.simpleString() for c in ("id", "place")]
     names = ["id", "place", "record_hash", "turn_no", "schema", "role", "text", "formatted", "loss_begin", "loss_end", "problem"]
@@ -174,7 +174,7 @@ def formatted(records: DataFrame, id_column: str, order: str, record: str = "rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
-        for batch in batches:
+        for batch in sliced(batches):
             at, out = [], []
             for i, value in enumerate(batch.column(2).to_pylist()):
                 found = turns(value)
@@ -196,7 +196,7 @@ def digests(turns: DataFrame, id_column: str, order: str, template: Template = T
     Records with a problem are counted and give no turn; a conversation of such records only has a row.  A task reads its conversations turn by turn and holds no more than one.
     """
     kind = turns.schema[id_column].dataType.simpleString()
-    rows = small_batches(turns.select(F.col(id_column).alias("id"), F.col(order).alias("place"), "record_hash", "turn_no", "formatted", "loss_begin", "loss_end"))
+    rows = turns.select(F.col(id_column).alias("id"), F.col(order).alias("place"), "record_hash", "turn_no", "formatted", "loss_begin", "loss_end")
     rows = rows.repartition("id").sortWithinPartitions("id", "place", "record_hash", "turn_no").select("id", "formatted", "loss_begin", "loss_end")
     names = [id_column, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_problems"]
 
@@ -206,7 +206,7 @@ def digests(turns: DataFrame, id_column: str, order: str, template: Template = T
         def closed() -> tuple:
             return (current, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5])
 
-        for batch in batches:
+        for batch in sliced(batches):
             done = []
             for name, piece, begin, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or name != current:

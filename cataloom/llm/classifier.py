@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole
+from .common import sliced, whole
 
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>!{}[]\\^~_="))
 PIECE = 1 << 20
@@ -111,11 +111,11 @@ class Model:
 
 def _counted(docs: DataFrame, id_column: str, text: str, settings: Settings) -> DataFrame:
     """(id, counts): the term counts of every row as bytes of float32."""
-    docs = small_batches(docs.select(F.col(id_column), whole(text).cast("binary").alias("text")))
+    docs = docs.select(F.col(id_column), whole(text).cast("binary").alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             counts = [term_counts(t.as_py(), settings.dims).astype(np.float16).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], names=[id_column, "counts"])
 
@@ -161,12 +161,12 @@ def _axes(matrix: np.ndarray, settings: Settings) -> np.ndarray:
 
 def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(id, score) of every row; the score is near 1 where label 1 is likely."""
-    docs = small_batches(docs.select(F.col(id_column), whole(text).cast("binary").alias("text")))
+    docs = docs.select(F.col(id_column), whole(text).cast("binary").alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for begin in range(0, batch.num_rows, settings.block):
                 part = batch.column(1).slice(begin, settings.block)

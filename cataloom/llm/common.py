@@ -11,21 +11,23 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-# Rows of one Arrow batch.  With whole texts in the rows this bounds the memory of a Python worker.
+# Rows that a function takes at a time.  With whole texts in the rows this bounds the memory of a Python worker.
 BATCH_ROWS = 500
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """Let the session send texts to Python in batches of at most ``BATCH_ROWS`` rows."""
-    spark = df.sparkSession
-    if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
-        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
-    return df
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``rows`` at a time.
+
+    Spark bounds the bytes of a batch it sends (``spark.sql.execution.arrow.maxBytesPerBatch``); what a
+    function makes of its rows is bounded here, so the session's settings stay as the user has them.
+    """
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole
+from .common import sliced, whole
 
 THRESHOLD = 0.8
 # Begins of passages that are compared at once; with the longest template this bounds the memory.
@@ -242,13 +242,13 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text: str = "text", temp
 
     The templates travel with the job; they are a parameter of the scan and not a growing table.
     """
-    docs = small_batches(docs.select(F.col(id_column), whole(text).alias("text")))
+    docs = docs.select(F.col(id_column), whole(text).alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
     names = [id_column, "license", "first_word", "n_words", "dice"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, threshold)
-        for batch in batches:
+        for batch in sliced(batches):
             at, found = [], []
             for i, t in enumerate(batch.column(1)):
                 for one in scanner.scan(t.as_py()):

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole
+from .common import sliced, whole
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
@@ -126,12 +126,12 @@ def measured(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tup
 
 def judge(docs: DataFrame, id_column: str = "doc_id", text: str = "text", bands: Bands = Bands()) -> DataFrame:
     """One row per document: the id, the counts, the ratios, ``base_failed`` and ``kept``."""
-    docs = small_batches(docs.select(F.col(id_column), whole(text).cast("binary").alias("text")))
+    docs = docs.select(F.col(id_column), whole(text).cast("binary").alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [measured(t.as_py(), bands, packer) for t in batch.column(1)]
             columns = [pa.array(c) for c in zip(*rows, strict=True)]
             if rows:
@@ -144,11 +144,10 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text: str = "text", bands:
 def keep(docs: DataFrame, text: str = "text", bands: Bands = Bands()) -> DataFrame:
     """The rows of ``docs`` whose text passes, with all their columns."""
     at = docs.columns.index(text)
-    small_batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(at).cast(pa.binary())
             yield batch.filter(pa.array([measured(t.as_py() or b"", bands, packer)[-1] for t in texts], pa.bool_()))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole, written
+from .common import sliced, whole, written
 from .components import components
 
 SEED = 42
@@ -58,11 +58,11 @@ def fingerprint(text: bytes, words_per_shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """(id, text_hash, fp) of every row; ``text_hash`` tells rows of one id apart."""
-    docs = small_batches(docs.select(F.col(id_column), F.xxhash64(whole(text)).alias("text_hash"), whole(text).cast("binary").alias("text")))
+    docs = docs.select(F.col(id_column), F.xxhash64(whole(text)).alias("text_hash"), whole(text).cast("binary").alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = np.array([fingerprint(t.as_py(), words_per_shingle) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=[id_column, "text_hash", "fp"])
 

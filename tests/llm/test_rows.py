@@ -5,12 +5,13 @@ import json
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cataloom.llm import chat, decontaminate, quality, queries, simhash, urls
+from cataloom.llm import chat, common, decontaminate, quality, queries, simhash, urls
 
 from .conftest import ODD
 
@@ -252,3 +253,19 @@ def test_op_queries_are_registered():
 
     names = set(entry.queries())
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+
+
+def test_session_settings_stay(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")).coalesce(1)
+    assert quality.judge(docs).count() == 1200
+    assert simhash.fingerprints(docs).count() == 1200
+    assert spark.conf.get(name) == before
+
+
+def test_batches_are_cut():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1201))], names=["n"])
+    cut = list(common.sliced(iter([batch, batch.slice(0, 0), batch.slice(0, 1)])))
+    assert [b.num_rows for b in cut] == [500, 500, 201, 1]
+    assert [n for b in cut for n in b.column(0).to_pylist()] == [*range(1201), 0]
