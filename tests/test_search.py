@@ -84,6 +84,24 @@ def test_large_query_sets_take_the_salted_way(spark, monkeypatch):
     assert ranked(retrieval.search(*frames, size=5, mode="words")) == small
 
 
+def test_an_index_does_not_broadcast_its_vocabulary(spark, monkeypatch):
+    measured = []
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df, **k: measured.append((set(df.columns), k)) or True)
+    index = retrieval.store_index(documents(spark, texts(30, 2)), retrieval.VECTORISER)
+    assert measured == []
+    retrieval.search(index, queries(spark, texts(5, 3, 1, 4)), "TFIDF", 5).collect()
+    bounds = [k["max_rows"] for columns, k in measured if {"term", "block"} <= columns]
+    assert bounds and max(bounds) <= 20_000
+
+
+def test_many_blocks_to_read_are_merged(spark, monkeypatch):
+    index = retrieval.store_index(documents(spark, texts(30, 2)))
+    asked = queries(spark, texts(5, 3, 1, 4))
+    small = ranked(retrieval.search(index, asked, size=5))
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    assert ranked(retrieval.search(index, asked, size=5)) == small
+
+
 def test_tfidf_is_a_cosine(spark):
     docs = [d for d in texts(25, 4, 1) if d]
     found = ranked(retrieval.search(documents(spark, docs), queries(spark, ["city bus bus"]), "TFIDF", 25))[0]
