@@ -7,9 +7,9 @@ alignment of two token lists and run as Arrow UDFs, one pair at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +24,24 @@ STEM_LONGER_THAN = 3
 
 METRICS = ["rouge1", "rouge2", "rougeL", "meteor"]
 
+# Rows of an Arrow batch that are Python objects at a time.
+BATCH_ROWS = 200
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stemmed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def by_rows(function: Callable, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``function`` of each row's values.
+
+    Token lists take many times their Arrow size as Python objects, and a batch has thousands of rows; only
+    ``BATCH_ROWS`` of them are unpacked together, so a worker's memory does not grow with the batch.
+    """
+    starts = range(0, len(columns[0]), BATCH_ROWS)
+    parts = (zip(*(c.slice(i, BATCH_ROWS).to_pylist() for c in columns), strict=True) for i in starts)
+    made = [pa.array([function(*row) for row in rows], kind) for rows in parts]
+    return pa.concat_arrays(made) if made else pa.array([], kind)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stemmed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     known: dict[str, str] = {}
 
     def short(token: str) -> str:
@@ -39,7 +54,7 @@ def _stemmed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         return known[token]
 
     for batch in batches:
-        yield batch.map(lambda row: None if row is None else [short(t) for t in row])
+        yield by_rows(lambda row: None if row is None else [short(t) for t in row], pa.list_(pa.string()), batch)
 
 
 def _tokens(text: Column, stemmed: bool, unicode: bool) -> Column:
@@ -93,16 +108,9 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - open_bits.bit_count()
 
 
-@F.pandas_udf(T.IntegerType())
-def _lcs(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in pairs:
-        yield pd.Series(
-            [
-                None if a is None or b is None else lcs_length(list(a), list(b))
-                for a, b in zip(left, right, strict=True)
-            ],
-            dtype="Int32",
-        )
+@F.arrow_udf(T.IntegerType())
+def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
+    return by_rows(lambda a, b: None if a is None or b is None else lcs_length(a, b), pa.int32(), left, right)
 
 
 def rouge_l(pairs: DataFrame, stemmed: bool = False, unicode: bool = False) -> DataFrame:
@@ -166,31 +174,22 @@ def meteor_score(reference: list[str], candidate: list[str], groups: dict[str, s
     return (1 - GAMMA * (chunks / len(matches)) ** BETA) * mean
 
 
-@F.pandas_udf(T.DoubleType())
-def _meteor(reference: pd.Series, candidate: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if a is None or b is None else meteor_score(list(a), list(b), None)
-            for a, b in zip(reference, candidate, strict=True)
-        ],
-        dtype="float64",
-    )
+@F.arrow_udf(T.DoubleType())
+def _meteor(reference: pa.Array, candidate: pa.Array) -> pa.Array:
+    return by_rows(lambda a, b: None if a is None or b is None else meteor_score(a, b, None), pa.float64(), reference, candidate)
 
 
-@F.pandas_udf(T.DoubleType())
-def _meteor_synonyms(
-    reference: pd.Series, candidate: pd.Series, groups: pd.Series
-) -> pd.Series:
-    out = []
-    for a, b, found in zip(reference, candidate, groups, strict=True):
+@F.arrow_udf(T.DoubleType())
+def _meteor_synonyms(reference: pa.Array, candidate: pa.Array, groups: pa.Array) -> pa.Array:
+    def score(a: list[str] | None, b: list[str] | None, found: list[dict] | None) -> float | None:
         if a is None or b is None:
-            out.append(None)
-            continue
+            return None
         by_word: dict[str, set] = {}
-        for item in found if found is not None else []:
+        for item in found or []:
             by_word.setdefault(item["term"], set()).add(item["synset"])
-        out.append(meteor_score(list(a), list(b), by_word))
-    return pd.Series(out, dtype="float64")
+        return meteor_score(a, b, by_word)
+
+    return by_rows(score, pa.float64(), reference, candidate, groups)
 
 
 def meteor(pairs: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:

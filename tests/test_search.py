@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,21 @@ def test_many_blocks_to_read_are_merged(spark, monkeypatch):
     assert ranked(retrieval.search(index, asked, size=5)) == small
 
 
+def test_token_lists_are_unpacked_few_at_a_time(monkeypatch):
+    unpacked = []
+
+    class Column(list):
+        def slice(self, start, n):
+            unpacked.append(len(self[start : start + n]))
+            return pa.array(self[start : start + n])
+
+    monkeypatch.setattr(similarity, "BATCH_ROWS", 3)
+    got = similarity.by_rows(lambda a, b: a and a + b, pa.int64(), Column([1, None, 3, 4]), Column([1, 2, 3, 4]))
+    assert got.to_pylist() == [2, None, 6, 8]
+    assert max(unpacked) == 3
+    assert similarity.by_rows(lambda a: a, pa.int64(), Column()).to_pylist() == []
+
+
 def test_tfidf_is_a_cosine(spark):
     docs = [d for d in texts(25, 4, 1) if d]
     found = ranked(retrieval.search(documents(spark, docs), queries(spark, ["city bus bus"]), "TFIDF", 25))[0]
