@@ -114,6 +114,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def elements(values: str) -> Column:
+    """The elements of an array column, to be exploded; null has none.
+
+    Spark filters the rows below an exploded column by its size, and there asks for the whole expression
+    behind it again, twice a row.  It does not do so for an expression of the column.
+    """
+    return F.coalesce(F.col(values), F.array())
+
+
 def runs(tokens: Column) -> Column:
     """``array<struct<term, tf>>`` of a token array, counted inside the row.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import csvtext
-from ..functions.text import has_visible_text, let, shrink_sample_csv
+from ..functions.text import elements, has_visible_text, let, shrink_sample_csv
 from .joins import hashed_order, top_ranked
 
 # Fixed value: the seed of every sample.
@@ -57,7 +57,7 @@ def explode_sample_cells(df: DataFrame, column: str = "sample_csv") -> DataFrame
     """Cells ``(dataset_id, row_no, col_no, col_name, value)`` of all samples, no shuffle."""
     return (
         with_table(df.select("dataset_id", column), column)
-        .select("dataset_id", F.explode("columns").alias("c"))
+        .select("dataset_id", F.explode(elements("columns")).alias("c"))
         .select("dataset_id", "c.col_no", "c.col_name", F.posexplode("c.values").alias("row_no", "value"))
         .select("dataset_id", "row_no", "col_no", "col_name", "value")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsontext, prompts
-from ..functions.text import let
+from ..functions.text import elements, let
 from .sampling import column_sample_values
 
 # Field names as the prompt asks for them.
@@ -21,7 +21,7 @@ def column_prompts(df: DataFrame, k: int = 5) -> DataFrame:
     """One prompt per column of every sample."""
     return (
         column_sample_values(df, k)
-        .select("dataset_id", F.explode("column_values").alias("c"))
+        .select("dataset_id", F.explode(elements("column_values")).alias("c"))
         .select(
             "dataset_id",
             "c.col_no",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.prompts import PROFILE_HEADING
-from ..functions.text import let
+from ..functions.text import elements, let
 from .sampling import with_table
 
 # What the texts of a type look like.
@@ -23,6 +23,7 @@ DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?(
 # January 31, 2020.
 CLOCK = r"(?:,?[ T]([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.[0-9]+)?)? ?([AaPp][Mm])?)?$"
 NUMERIC_DATE = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})" + CLOCK
+OVER_12_FIRST = r"^(1[3-9]|[2-9][0-9])[/.-][0-9]{1,2}[/.-][0-9]{4}" + CLOCK
 YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})" + CLOCK
 DAY_MONTH = r"^([0-9]{1,2})[ -]([A-Za-z]{3})[a-z]*\.?[ ,-]+([0-9]{4})" + CLOCK
 MONTH_DAY = r"^([A-Za-z]{3})[a-z]*\.? ([0-9]{1,2}),? ([0-9]{4})" + CLOCK
@@ -44,7 +45,7 @@ SCIENTIFIC = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
 
 def _day_first(values: Column) -> Column:
     """Numeric dates are month first, as in the United States, unless a first number exceeds 12."""
-    return F.exists(values, lambda v: F.regexp_extract(v, NUMERIC_DATE, 1).try_cast("int") > 12)
+    return F.exists(values, lambda v: v.rlike(OVER_12_FIRST))
 
 
 def _month(text: Column) -> Column:
@@ -212,7 +213,7 @@ def profile_rows(df: DataFrame, column: str = "sample_csv") -> DataFrame:
     """One row per column of every sample, ranges folded with 0 as :func:`profile_text` prints."""
     return (
         sample_profiles(df.select("dataset_id", column), column)
-        .select("dataset_id", F.explode("profile").alias("p"))
+        .select("dataset_id", F.explode(elements("profile")).alias("p"))
         .select("dataset_id", "p.*")
         .withColumn("range_low", _range_low(F.col("low")))
         .withColumn("range_high", _range_high(F.col("high")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cataloom import schemas
 from cataloom.functions import csvtext, jsontext
-from cataloom.functions.text import shrink_sample_csv
+from cataloom.functions.text import elements, shrink_sample_csv
 from cataloom.operators import ingest, prepare, sampling
 from cataloom.session import scratch_path
 from cataloom.sources import landed, qrels, stages
@@ -528,7 +528,7 @@ def column_sample_values(spark, folder):
     records = prepare.prepare_records(views.samples(spark, folder))
     return (
         sampling.column_sample_values(records)
-        .select("dataset_id", F.explode("column_values").alias("c"))
+        .select("dataset_id", F.explode(elements("column_values")).alias("c"))
         .select(
             "dataset_id",
             "c.col_no",

@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from cataloom.functions import jsontext, prompts
-from cataloom.operators import complete, evaluation, semantics, structural
+from cataloom.operators import complete, evaluation, sampling, semantics, structural
 from cataloom.plans import describe
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -353,3 +353,15 @@ def test_facade_steps_one_by_one(spark):
     assert sorted(str(r.search_description) for r in search.collect()) == ["2 parts", "None"]
     full = describe.describe_catalog(rows.filter("dataset_id = 'a'"), provider, per_column=True).first()
     assert "Represents thing" in full.semantic_profile and full.generation_status == "success"
+
+
+def test_exploded_columns_are_not_asked_twice(spark, monkeypatch):
+    """Spark would infer a filter from an exploded column, and parse every sample again for it."""
+    df = spark.createDataFrame([("a", "n,d\n1,13/01/2020\n,12/02/2020"), ("b", 'n\n"open'), ("c", None)], "dataset_id string, sample_csv string")
+    frames = [structural.profile_rows(df), semantics.column_prompts(df), sampling.explode_sample_cells(df)]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+        assert {r.dataset_id for r in frame.collect()} == {"a"}
+    times = {r.col_name: str(r.first_time) for r in frames[0].collect()}
+    assert times["d"] == "2020-01-13 00:00:00"
