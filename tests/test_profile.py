@@ -365,3 +365,26 @@ def test_exploded_columns_are_not_asked_twice(spark, monkeypatch):
         assert {r.dataset_id for r in frame.collect()} == {"a"}
     times = {r.col_name: str(r.first_time) for r in frames[0].collect()}
     assert times["d"] == "2020-01-13 00:00:00"
+
+
+def test_a_prompt_is_evaluated_once(spark):
+    asked, n = spark.createDataFrame([("a",), (None,)], "p string"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(p):
+        n.add(1)
+        return p
+
+    @F.udf("array<string>")
+    def all_told(p):
+        n.add(1)
+        return None if p is None else [p, None]
+
+    provider = complete.OfflineProvider()
+    one = provider.column("quality", told("p").alias("p"), {"description": F.lit("x")})
+    many = provider.columns("quality", all_told("p"), {"description": F.lit("x")})
+    rows = asked.select(one.alias("one"), many.alias("many")).collect()
+    assert n.value == 4
+    assert [r.one.status for r in rows] == ["success", "error"]
+    assert [r.one.total_tokens - r.one.completion_tokens for r in rows] == [1, 0]
+    assert [a.prompt_tokens for a in rows[0].many] == [1, 0] and rows[1].many is None
