@@ -388,3 +388,32 @@ def test_a_prompt_is_evaluated_once(spark):
     assert [r.one.status for r in rows] == ["success", "error"]
     assert [r.one.total_tokens - r.one.completion_tokens for r in rows] == [1, 0]
     assert [a.prompt_tokens for a in rows[0].many] == [1, 0] and rows[1].many is None
+
+
+@pytest.mark.parametrize(
+    "values, text",
+    [
+        (["a", "b"], "['a', 'b']"),
+        (["a, b", ""], "['a, b', '']"),
+        ([], "[]"),
+        (["a", None, "b"], "['a', 'b']"),
+        (["it's", "b"], "[\"it's\", 'b']"),
+        (["a\nb", 'c"d'], "['a\\nb', 'c\"d']"),
+        (None, None),
+    ],
+)
+def test_quoted_lists(spark, values, text):
+    df = spark.createDataFrame([(values,)], "v array<string>")
+    assert df.select(prompts.quoted_list(F.col("v"))).first()[0] == text
+
+
+def test_braces_are_counted_behind_wide_characters(spark):
+    df = spark.createDataFrame([('so {"\u00e4": {"\U0001f600": "x", \n}, ',), ("}{",), ("{a{b}",)], "t string")
+    assert [r[0] for r in df.select(jsontext.repair(F.col("t"))).collect()] == ['{"\u00e4": {"\U0001f600": "x"}}', "}{", "{a{b}}"]
+
+
+def test_plain_values_are_quoted_without_a_look_at_each(spark):
+    """A plain list is joined; the chain of replacements is asked only where a value needs it."""
+    df = spark.createDataFrame([(["a", "b"],)], "v array<string>").select(prompts.quoted_list(F.col("v")).alias("q"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join(v#" in plan and plan.index("array_join(v#") < plan.index("transform(v#")
