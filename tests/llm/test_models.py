@@ -110,6 +110,24 @@ def test_suffix_tree_scores(spark, depth):
     assert sum(w[4] for w in want) > sum(w[3] for w in want)
 
 
+def test_suffix_tree_support_does_not_depend_on_the_size(spark, monkeypatch):
+    """A corpus that is repeated has the same words and contexts with support, each as often."""
+    trees, weigh = [], suffix_tree.weigh
+    monkeypatch.setattr(suffix_tree, "weigh", lambda tree, settings: (trees.append(tree), weigh(tree, settings)))
+    docs = spark.createDataFrame(lm_rows(), "doc_id long, text string, learn boolean")
+    settings = Settings(chance=0.002)
+    for times in (1, 6):
+        more = docs.crossJoin(spark.range(times).select(F.lit(1).alias("one"))).drop("one")
+        assert suffix_tree.scored(more, F.col("learn"), settings=settings).count() == docs.count() * times
+    small, large = trees
+    assert large.tokens == 6 * small.tokens
+    assert list(small.symbols) == list(large.symbols)
+    assert len(small.keys) == len(large.keys) == 4
+    for a, b, m, n in zip(small.keys, large.keys, small.counts, large.counts, strict=True):
+        assert list(a) == list(b)
+        assert [6 * c for c in m] == list(n)
+
+
 def test_suffix_tree_chances_sum_to_one():
     """Behind any state the symbols' chances are a distribution."""
     pick = np.random.default_rng(1)
