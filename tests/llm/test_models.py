@@ -110,6 +110,18 @@ def test_suffix_tree_scores(spark, depth):
     assert sum(w[4] for w in want) > sum(w[3] for w in want)
 
 
+@pytest.mark.parametrize("least", [1, 2])
+def test_suffix_tree_scores_with_little_support(spark, least):
+    """Small corpora: one or two occurrences are the share that counts."""
+    rows = lm_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    want, _ = brute_scores([(t, learn) for _, t, learn in rows], Settings(share=0, least=least))
+    settings = Settings(chance=(least - 0.5) / want[0][2])
+    assert settings.support(want[0][2]) == least
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.scored(docs, F.col("learn"), settings=settings).collect()}
+    assert [got[i] for i in range(len(rows))] == pytest.approx([w[4] for w in want], rel=1e-9)
+
+
 def test_suffix_tree_support_does_not_depend_on_the_size(spark, monkeypatch):
     """A corpus that is repeated has the same words and contexts with support, each as often."""
     trees, weigh = [], suffix_tree.weigh
