@@ -1,5 +1,6 @@
 """Profiles, semantics, prompts, providers, the described table."""
 
+import json
 import sys
 
 import pytest
@@ -322,6 +323,20 @@ def test_batched_calls_are_aligned_by_place(spark):
         complete.complete(df, "topic", F.col("p"), complete.BatchProvider(Batches, "m", batch_size=0))
 
 
+def test_grouped_answers_tell_the_columns_asked(spark):
+    """Each group's answer is about its columns only, and the texts are those of one prompt for all."""
+    twice = "a,b,a,c\n1,x,2,y\n"
+    rows = records(spark, ("a", "t", "s", CITY, None), ("b", "t", "s", twice, None), ("c", "t", "s", None, None))
+    offline = complete.OfflineProvider()
+    asked = F.array(F.array(F.lit("City"), F.lit("lat")), F.array(F.lit("when")))
+    context = {"profile": F.col("profile"), "asked": asked}
+    answers = structural.sample_profiles(rows.filter("dataset_id = 'a'")).select(offline.columns("group_semantics", F.array(F.lit("p"), F.lit("q")), context).alias("x"))
+    assert [sorted(json.loads(x.content)) for x in answers.first().x] == [["City", "lat"], ["when"]]
+    found = [{r.dataset_id: r.semantic_profile for r in describe.describe_catalog(rows, group_size=n).collect()} for n in (0, 1, 2, 3)]
+    assert found[0]["a"].count("**: Represents") == 5 and found[0]["c"] is None
+    assert found[1:] == found[:1] * 3
+
+
 def test_replies_are_aligned_by_place(spark):
     asked = spark.createDataFrame([("a", 0, i, f"c{i}") for i in range(3)] + [("b", 0, 0, "c")], "dataset_id string, batch_no long, place int, col_name string")
     replies = spark.createDataFrame([("a", 0, ["x", "y"])], "dataset_id string, batch_no long, answers array<string>")
