@@ -103,6 +103,39 @@ def test_many_blocks_to_read_are_merged(spark, monkeypatch):
     assert ranked(retrieval.search(index, asked, size=5)) == small
 
 
+@pytest.mark.parametrize("mode", ["words_and_marks", retrieval.VECTORISER])
+def test_an_index_leaves_no_shuffle_files(spark, mode):
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("|").split("|") if f.endswith(".data")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs, before = documents(spark, texts(30, 2)), spark.conf.get(setting, None)
+    earlier = left()
+    index = retrieval.store_index(docs, mode)
+    written = {f.split("shuffle_")[1].split("_")[0] for f in left() - earlier if "shuffle_" in f}
+    assert len(written) <= 4  # of figures that are gathered; vocabulary, entries and impacts have at least four more
+    assert spark.conf.get(setting, None) == before
+    index.drop()
+
+
+@pytest.mark.parametrize("similarity, mode", [("BM25", "words_and_marks"), ("TFIDF", retrieval.VECTORISER)])
+def test_shares_of_scores_are_summed_in_their_block(spark, monkeypatch, similarity, mode):
+    """Entries move once, by block; what they add to scores does not move."""
+    monkeypatch.setattr(retrieval, "BLOCK_DOCUMENTS", 4)
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)
+    index = retrieval.store_index(documents(spark, texts(30, 2)), mode)
+    asked = queries(spark, texts(5, 3, 1, 4))
+    scores = retrieval.best_scores(index, asked, 5)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(group") == 1 and "Exchange hashpartitioning(query_id" not in plan
+    full = retrieval.bm25_scores if similarity == "BM25" else retrieval.tfidf_scores
+    want = {(r.query_id, r.doc_id): r.score for r in full(index, asked).collect()}
+    got = {(r.query_id, r.doc_id): r.score for r in scores.collect()}
+    assert got and got == pytest.approx({k: want[k] for k in got}, abs=1e-8)
+    index.drop()
+
+
 def test_token_lists_are_unpacked_few_at_a_time(monkeypatch):
     unpacked = []
 
